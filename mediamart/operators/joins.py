@@ -45,9 +45,11 @@ def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str], point:
     ``point`` (and by AQE's skew handling beyond that).
     """
     pairs = left.select(*keys, point).distinct()
-    r = right.filter(F.col(end) > F.col(start)).select(*keys, start, end, *take)
-    cond = [pairs[k].eqNullSafe(r[k]) for k in keys]
-    cond += [pairs[point] >= r[start], pairs[point] < r[end]]
-    mapping = pairs.join(r, cond, "inner").select(*[pairs[k] for k in keys], pairs[point],
-                                                 *[r[t] for t in take])
+    r = (right.filter(F.col(end) > F.col(start))
+              .select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)],
+                      F.col(start).alias("_start"), F.col(end).alias("_end"),
+                      *[F.col(t) for t in take]))
+    cond = [F.col(k).eqNullSafe(F.col(f"_r{i}")) for i, k in enumerate(keys)]
+    cond += [F.col(point) >= F.col("_start"), F.col(point) < F.col("_end")]
+    mapping = pairs.join(r, cond, "inner").select(*keys, point, *take)
     return left.join(mapping, list(keys) + [point], how)

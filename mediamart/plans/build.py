@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import dims, facts
 from ..operators.staging import stage
 from ..schemas import FEED_NAMES, HOUR_COL, staged_schema
-from ..sources.sinks import cluster_by_time, read_table, write_hours, write_table
+from ..sources.sinks import by_name, cluster_by_time, read_table, write_table
 
 
 @dataclass
@@ -24,7 +25,7 @@ class Built:
 
 def build_star(spark: SparkSession, raw_feeds: dict[str, DataFrame], state_codes: DataFrame,
                movies: DataFrame, out_root: str, unknown_ids=(0, 1), trim_codes: bool = False,
-               dedupe_unknown: bool = False) -> Built:
+               dedupe_unknown: bool = False, threads: int = 4) -> Built:
     """Write every model under ``out_root`` (a folder in shared storage).
 
     Order follows the model graph: seed and staging first, then the four
@@ -32,6 +33,10 @@ def build_star(spark: SparkSession, raw_feeds: dict[str, DataFrame], state_codes
     dimensions cuts their lineage (the fact never recomputes the SCD2 chain)
     and gives each one an exact row count, which is the size check behind
     every broadcast in the fact and the wide view.
+
+    Models that do not depend on each other (the four staging feeds; the
+    four dimensions) are submitted together from ``threads`` driver threads,
+    so their jobs share the cluster and their commits overlap.
     """
     out = Built(out_root.rstrip("/"))
 
@@ -44,20 +49,28 @@ def build_star(spark: SparkSession, raw_feeds: dict[str, DataFrame], state_codes
         return back
 
     seed = save("state_codes", state_codes)
-    for feed in FEED_NAMES:
-        if feed in raw_feeds:
-            path = f"{out.root}/staging/{feed}"
-            write_hours(stage(raw_feeds[feed], feed, with_hour=True), path, "overwrite",
-                        staged_schema(feed, with_hour=True), cluster=True)
-            out.paths[feed] = path
+
+    def stage_feed(feed: str) -> None:
+        path = f"{out.root}/staging/{feed}"
+        staged = by_name(stage(raw_feeds[feed], feed, with_hour=True), staged_schema(feed, with_hour=True))
+        write_table(cluster_by_time(staged), path, HOUR_COL)
+        out.paths[feed] = path
+
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        list(pool.map(stage_feed, [f for f in FEED_NAMES if f in raw_feeds]))
     watch = read_table(spark, out.paths["watch_events"], staged_schema("watch_events", with_hour=True))
 
-    dt = save("dim_datetime", dims.dim_datetime(spark))
-    loc = save("dim_location", dims.dim_location(watch, seed, trim_codes=trim_codes,
-                                                 dedupe_unknown=dedupe_unknown,
-                                                 seed_rows=out.rows["state_codes"]))
-    mov = save("dim_movies", dims.dim_movies(movies))
-    usr = save("dim_users", dims.dim_users(watch, unknown_ids=unknown_ids))
+    models = {
+        "dim_datetime": lambda: dims.dim_datetime(spark),
+        "dim_location": lambda: dims.dim_location(watch, seed, trim_codes=trim_codes,
+                                                  dedupe_unknown=dedupe_unknown,
+                                                  seed_rows=out.rows["state_codes"]),
+        "dim_movies": lambda: dims.dim_movies(movies),
+        "dim_users": lambda: dims.dim_users(watch, unknown_ids=unknown_ids),
+    }
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        done = dict(zip(models, pool.map(lambda name: save(name, models[name]()), models)))
+    dt, loc, mov, usr = (done[k] for k in ("dim_datetime", "dim_location", "dim_movies", "dim_users"))
 
     bounds = dict(movie_rows=out.rows["dim_movies"], location_rows=out.rows["dim_location"],
                   datetime_rows=out.rows["dim_datetime"])

@@ -13,13 +13,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import sanitize_columns
 from ..operators import audit, dims, facts, marts, staging
 from ..schemas import HOUR_COL
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources import bindings as bd
 from ..sources import files
 
 
 def _watch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staging.stage(bd.raw_feed(spark, sf_dir, "watch_events"), "watch_events")
+    """The staged watch feed, materialised once: every model downstream reads
+    it (users twice, locations, the fact), as they read the staging table."""
+    return materialize(staging.stage(bd.raw_feed(spark, sf_dir, "watch_events"), "watch_events"))
 
 
 def _stage(feed: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -64,8 +66,11 @@ def asof_user_level(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _star(spark: SparkSession, sf_dir: str):
+    """Staged feed and the four dimensions. The user dimension (the SCD2
+    chain, read by the fact and again by the wide view) is materialised like
+    the staged feed; the other three are cheap to recompute."""
     w = _watch(spark, sf_dir)
-    return (w, dims.dim_users(w), dims.dim_movies(bd.movies(spark, sf_dir)),
+    return (w, materialize(dims.dim_users(w)), dims.dim_movies(bd.movies(spark, sf_dir)),
             dims.dim_location(w, bd.state_codes(spark, sf_dir)), dims.dim_datetime(spark))
 
 
@@ -167,8 +172,7 @@ def user_history_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def full_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .build import build_star
     root = scratch_path(spark, "star")
-    feeds = {f: bd.raw_feed(spark, sf_dir, f) for f in
-             ("watch_events", "ad_events", "page_view_events", "auth_events")}
+    feeds = bd.raw_feeds(spark, sf_dir)
     built = build_star(spark, feeds, bd.state_codes(spark, sf_dir), bd.movies(spark, sf_dir), root)
     fact = built.table(spark, "fact_streams")
     return fact.select("userKey", "videoKey", "dateKey", "locationKey", "ts",

@@ -64,3 +64,15 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared root for one job's outputs."""
     return f"{shared_root(spark)}/mediamart/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Write ``df`` to the shared checkpoint folder and continue from there.
+
+    A reliable checkpoint (never a local one): the data lands in
+    ``spark.checkpoint.dir`` on shared storage, so a lost executor does not
+    lose it, and the lineage is cut, so a model that several later models
+    read is computed once. Equivalent to writing the model as a table.
+    """
+    shared_root(df.sparkSession)
+    return df.checkpoint(eager=True)

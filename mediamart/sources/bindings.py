@@ -88,9 +88,17 @@ def _device() -> list[Column]:
     ]
 
 
-def raw_feed(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
+def raw_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All four raw feeds from one materialised enrichment of the events."""
+    from ..session import materialize
+    x = materialize(_enriched_events(spark, sf_dir))
+    return {f: raw_feed(spark, sf_dir, f, enriched=x) for f in
+            ("watch_events", "ad_events", "page_view_events", "auth_events")}
+
+
+def raw_feed(spark: SparkSession, sf_dir: str, feed: str, enriched: DataFrame | None = None) -> DataFrame:
     """One raw event feed (raw column names, nulls still in place)."""
-    x = _enriched_events(spark, sf_dir)
+    x = enriched if enriched is not None else _enriched_events(spark, sf_dir)
     et, v = F.col("event_type"), F.col("value")
     common = _common(x)
     if feed == "watch_events":
