@@ -47,7 +47,9 @@ def change_runs(df: DataFrame, keys: Sequence[str], order: str, value: str,
            # One shuffle for the whole chain: distinct, local windows and the
            # bucket summary all run on this (entity, bucket) partitioning.
            .repartition(*keys, b)
-           .dropDuplicates(cols))
+           # the bucket is a function of ``order``: grouping by it too keeps
+           # the distinct on the partitioning above (no second exchange)
+           .dropDuplicates(cols + [b]))
 
     w = Window.partitionBy(*keys, b).orderBy(order, value)
     x = (x.withColumn("_rn", F.row_number().over(w))
@@ -72,7 +74,9 @@ def change_runs(df: DataFrame, keys: Sequence[str], order: str, value: str,
                        F.col(b).alias("_sb"), "_head", "_before"))
 
     cond = [F.col(k).eqNullSafe(F.col(f"_s{i}")) for i, k in enumerate(keys)]
-    j = x.join(summary, cond + [F.col(b) == F.col("_sb")], "inner")
+    # null-safe on every key: no inferred not-null filter on one side only, so
+    # both sides stay the same plan and share the one exchange of the feed
+    j = x.join(summary, cond + [F.col(b).eqNullSafe(F.col("_sb"))], "inner")
     return j.select(
         *cols,
         (F.col("_chg") + F.when(F.col("_rn") == 1, F.col("_head")).otherwise(0)).cast("int").alias(flag_col),
