@@ -56,7 +56,7 @@ def fact_streams(watch: DataFrame, dim_users: DataFrame, dim_movies: DataFrame,
 def wide_streams(fact: DataFrame, dim_users: DataFrame, dim_movies: DataFrame,
                  dim_location: DataFrame, dim_datetime: DataFrame,
                  movie_rows: int | None = None, location_rows: int | None = None,
-                 datetime_rows: int | None = None) -> DataFrame:
+                 datetime_rows: int | None = None, user_rows: int | None = None) -> DataFrame:
     """Fact joined (inner) to all four dimensions on their surrogate keys.
 
     Facts with any null key drop out; duplicated dimension keys fan out, as
@@ -69,7 +69,7 @@ def wide_streams(fact: DataFrame, dim_users: DataFrame, dim_movies: DataFrame,
     loc = dim_location.select("locationKey", "city", F.col("stateName").alias("state"),
                               "latitude", "longitude")
     dt = dim_datetime.select("dateKey", F.col("date").alias("dateHour"), "dayOfMonth", "dayOfWeek")
-    x = (fact.join(u, "userKey", "inner")
+    x = (fact.join(bounded_broadcast(u, user_rows), "userKey", "inner")
              .join(bounded_broadcast(m, movie_rows), "videoKey", "inner")
              .join(bounded_broadcast(loc, location_rows), "locationKey", "inner")
              .join(bounded_broadcast(dt, datetime_rows if datetime_rows is not None else spine_hours()),

@@ -79,5 +79,6 @@ def build_star(spark: SparkSession, raw_feeds: dict[str, DataFrame], state_codes
     write_table(cluster_by_time(fact), path, HOUR_COL)
     out.paths["fact_streams"] = path
     fact_back = spark.read.parquet(path)
-    facts.wide_streams(fact_back, usr, mov, loc, dt, **bounds).createOrReplaceTempView("wide_streams")
+    facts.wide_streams(fact_back, usr, mov, loc, dt, user_rows=out.rows["dim_users"],
+                       **bounds).createOrReplaceTempView("wide_streams")
     return out

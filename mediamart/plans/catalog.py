@@ -21,7 +21,8 @@ from ..sources import files
 def _watch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The staged watch feed, materialised once: every model downstream reads
     it (users twice, locations, the fact), as they read the staging table."""
-    return materialize(staging.stage(bd.raw_feed(spark, sf_dir, "watch_events"), "watch_events"))
+    return materialize(staging.stage(bd.raw_feed(spark, sf_dir, "watch_events"), "watch_events"),
+                       "staged-watch")
 
 
 def _stage(feed: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -70,7 +71,7 @@ def _star(spark: SparkSession, sf_dir: str):
     chain, read by the fact and again by the wide view) is materialised like
     the staged feed; the other three are cheap to recompute."""
     w = _watch(spark, sf_dir)
-    return (w, materialize(dims.dim_users(w)), dims.dim_movies(bd.movies(spark, sf_dir)),
+    return (w, materialize(dims.dim_users(w), "dim-users"), dims.dim_movies(bd.movies(spark, sf_dir)),
             dims.dim_location(w, bd.state_codes(spark, sf_dir)), dims.dim_datetime(spark))
 
 

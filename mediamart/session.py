@@ -66,13 +66,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/mediamart/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df):
-    """Write ``df`` to the shared checkpoint folder and continue from there.
-
-    A reliable checkpoint (never a local one): the data lands in
-    ``spark.checkpoint.dir`` on shared storage, so a lost executor does not
-    lose it, and the lineage is cut, so a model that several later models
-    read is computed once. Equivalent to writing the model as a table.
+def materialize(df, name: str = "model"):
+    """Write ``df`` as a Parquet table in the shared folder and read it back.
+
+    One job (a reliable ``checkpoint()`` without a cache computes the plan
+    twice), the data lands on shared storage so a lost executor loses
+    nothing, the lineage is cut so a model that several later models read is
+    computed once, and the planner sees the table's real size for its join
+    choices. Never a local checkpoint.
     """
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)

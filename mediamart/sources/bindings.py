@@ -91,7 +91,7 @@ def _device() -> list[Column]:
 def raw_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All four raw feeds from one materialised enrichment of the events."""
     from ..session import materialize
-    x = materialize(_enriched_events(spark, sf_dir))
+    x = materialize(_enriched_events(spark, sf_dir), "enriched-events")
     return {f: raw_feed(spark, sf_dir, f, enriched=x) for f in
             ("watch_events", "ad_events", "page_view_events", "auth_events")}
 

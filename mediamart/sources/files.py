@@ -168,3 +168,11 @@ def write_raw_hours(raw: DataFrame, root: str, feed: str, mode: str = "append")
         .withColumn("hour", F.hour(ts))
         .write.mode(mode).partitionBy("month", "day", "hour").parquet(path))
     return path
+
+
+def read_seed(spark: SparkSession, path: str) -> DataFrame:
+    """A seed CSV kept with the project (e.g. ``state_codes``): header row,
+    text columns. A UTF-8 byte-order mark before the header is dropped by
+    the reader; cell text is kept as is (a trailing space included)."""
+    df = spark.read.option("header", True).option("encoding", "UTF-8").csv(path)
+    return df.toDF(*[c.lstrip("﻿") for c in df.columns])

@@ -70,7 +70,7 @@ def test_unmatched_state(spark):
 
 
 def test_seed_dc_trailing_space(spark):
-    codes = (spark.read.option("header", True).csv(os.path.join(HERE, "fixtures", "state_codes_sample.csv")))
+    codes = files.read_seed(spark, os.path.join(HERE, "fixtures", "state_codes_sample.csv"))
     assert codes.columns == ["stateCode", "stateName"]          # BOM dropped
     w = _watch(spark, [{"timestamp": T("2024-01-01 10:00:00"), "city": "W", "state": "DC",
                         "lat": 1.0, "lon": 2.0}])
