@@ -6,7 +6,7 @@ import datetime as _dt
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import null_tokens, safe_double, sanitize_columns
 from ..schemas import MOVIE_COLUMNS, raw_schema
@@ -124,21 +124,36 @@ def read_hours(spark: SparkSession, root: str, feed: str, start: _dt.datetime,
                end: _dt.datetime) -> DataFrame | None:
     """Raw rows of a feed with start <= ts < end, from the hour folders only.
 
-    Only the folders of the asked hours are listed (the path is the
-    partition pruning); the ``ts`` filter removes rows of other years that
-    share a month/day/hour folder. Missing hours are skipped.
+    A run of a few hours reads those hour folders by path (the path is the
+    partition pruning). A backfill reads the day folders under the feed root
+    instead: one listing per day (not per hour), then pruning on the
+    month/day/hour partition values of the asked hours. Either way the
+    ``ts`` filter removes rows of other years that share a folder (the
+    layout has no year). Missing folders are skipped.
     """
-    wanted = [raw_hour_path(root, feed, h) for h in hours_between(start, end)]
-    if len(wanted) <= PER_HOUR_CHECKS:
-        paths = existing_paths(spark, wanted)
-    else:
-        found = glob_paths(spark, f"{root.rstrip('/')}/{feed}/month=*/day=*/hour=*")
-        paths = [p for p in wanted if _local_part(p) in found]
+    hours = hours_between(start, end)
+    feed_root = f"{root.rstrip('/')}/{feed}"
+    ts = F.col("timestamp")
+    in_range = (ts >= ts_literal(start)) & (ts < ts_literal(end))
+    if len(hours) <= PER_HOUR_CHECKS:
+        paths = existing_paths(spark, [raw_hour_path(root, feed, h) for h in hours])
+        if not paths:
+            return None
+        return spark.read.schema(raw_schema(feed)).parquet(*paths).filter(in_range)
+    found = glob_paths(spark, f"{feed_root}/month=*/day=*")
+    days = sorted({(h.month, h.day) for h in hours})
+    paths = [f"{feed_root}/month={m}/day={d}" for m, d in days
+             if _local_part(f"{feed_root}/month={m}/day={d}") in found]
     if not paths:
         return None
-    ts = F.col("timestamp")
-    return (spark.read.schema(raw_schema(feed)).parquet(*paths)
-                 .filter((ts >= ts_literal(start)) & (ts < ts_literal(end))))
+    schema = raw_schema(feed)
+    for part in ("month", "day", "hour"):
+        schema = schema.add(part, T.IntegerType())
+    wanted = sorted({h.month * 10000 + h.day * 100 + h.hour for h in hours})
+    hour_id = F.col("month") * 10000 + F.col("day") * 100 + F.col("hour")
+    df = (spark.read.schema(schema).option("basePath", feed_root).parquet(*paths)
+               .filter(hour_id.isin(wanted) & in_range))
+    return df.select(*raw_schema(feed).fieldNames())
 
 
 def _local_part(path: str) -> str:
@@ -163,7 +178,8 @@ def write_raw_hours(raw: DataFrame, root: str, feed: str, mode: str = "append")
     """
     ts = F.col("timestamp")
     path = f"{root.rstrip('/')}/{feed}"
-    (raw.repartitionByRange(ts)
+    from .sinks import write_parallelism
+    (raw.repartitionByRange(write_parallelism(raw.sparkSession), ts)
         .withColumn("month", F.month(ts)).withColumn("day", F.dayofmonth(ts))
         .withColumn("hour", F.hour(ts))
         .write.mode(mode).partitionBy("month", "day", "hour").parquet(path))

@@ -30,7 +30,16 @@ def ensure_table(spark: SparkSession, path: str, schema: T.StructType,
     return True
 
 
-def cluster_by_time(df: DataFrame, ts_col: str = "ts") -> DataFrame:
+def write_parallelism(spark: SparkSession, partitions: int | None = None) -> int:
+    """Tasks for a clustered write: the session's shuffle parallelism unless given.
+
+    Given explicitly, so AQE does not coalesce a small range shuffle into one
+    task that then writes every hour folder alone.
+    """
+    return partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def cluster_by_time(df: DataFrame, ts_col: str = "ts", partitions: int | None = None) -> DataFrame:
     """Range-partition rows on (hour, ts) before an hour-partitioned write.
 
     Rows coming out of a join or aggregation are spread by key, so every task
@@ -39,7 +48,8 @@ def cluster_by_time(df: DataFrame, ts_col: str = "ts") -> DataFrame:
     file per hour, and an hour with a third of all rows is still cut into
     many tasks by its ``ts`` quantiles, never sent to one.
     """
-    return df.repartitionByRange(F.col(HOUR_COL), F.col(ts_col))
+    return df.repartitionByRange(write_parallelism(df.sparkSession, partitions),
+                                 F.col(HOUR_COL), F.col(ts_col))
 
 
 def write_hours(df: DataFrame, path: str, mode: str = "append",
