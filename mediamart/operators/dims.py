@@ -21,8 +21,6 @@ WEEKEND_DAYS = (6, 7)
 UNKNOWN = "NA"
 UNKNOWN_MOVIE_ID = "N" * 19
 
-SEED_MAX_ROWS = 10_000   # a seed is a hand-kept file; anything larger is not a seed
-
 USER_KEYS = ["userId", "firstName", "lastName", "gender", "dateOfBirth"]
 
 
@@ -54,12 +52,14 @@ def dim_datetime(spark: SparkSession, start: _dt.datetime = SPINE_START,
 
 
 def dim_location(watch: DataFrame, state_codes: DataFrame, trim_codes: bool = False,
-                 dedupe_unknown: bool = False, seed_rows: int | None = SEED_MAX_ROWS) -> DataFrame:
+                 dedupe_unknown: bool = False, seed_rows: int | None = None) -> DataFrame:
     """Distinct places of the watch feed, named by the seed, plus the unknown place.
 
     The distinct runs *before* the seed join (places are few, events are
     many, and partial aggregation shrinks each task to its distinct places),
     then once more after it, since unmatched codes all collapse to 'NA'.
+    ``seed_rows``: a proven row count of the seed (e.g. of the loaded file);
+    the seed is broadcast under it, else the planner decides.
     """
     places = watch.select("city", "state", "lat", "lon").distinct()
     seed = state_codes.select(

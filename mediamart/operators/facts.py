@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import clean_title, day_of, hour_key, hour_of
 from ..schemas import HOUR_COL
-from .dims import spine_hours
 from .joins import bounded_broadcast, interval_join
 
 
@@ -44,7 +43,7 @@ def fact_streams(watch: DataFrame, dim_users: DataFrame, dim_movies: DataFrame,
                & (x.lon == loc._lon), "left")
 
     dt = dim_datetime.select(F.col("date").alias("_hour"), "dateKey")
-    x = x.join(bounded_broadcast(dt, datetime_rows if datetime_rows is not None else spine_hours()),
+    x = x.join(bounded_broadcast(dt, datetime_rows),
                "_hour", "left")
 
     out = x.select("userKey", "videoKey", "dateKey", "locationKey", "ts")
@@ -72,7 +71,7 @@ def wide_streams(fact: DataFrame, dim_users: DataFrame, dim_movies: DataFrame,
     x = (fact.join(bounded_broadcast(u, user_rows), "userKey", "inner")
              .join(bounded_broadcast(m, movie_rows), "videoKey", "inner")
              .join(bounded_broadcast(loc, location_rows), "locationKey", "inner")
-             .join(bounded_broadcast(dt, datetime_rows if datetime_rows is not None else spine_hours()),
+             .join(bounded_broadcast(dt, datetime_rows),
                    "dateKey", "inner"))
     return x.select("userKey", "videoKey", "dateKey", "locationKey", F.col("ts").alias("timestamp"),
                     "firstName", "lastName", "gender", "level", "userId", "currentUserRow",

@@ -33,7 +33,8 @@ def _stage(feed: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def dim_location(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dims.dim_location(_watch(spark, sf_dir), bd.state_codes(spark, sf_dir))
+    return dims.dim_location(_watch(spark, sf_dir), bd.state_codes(spark, sf_dir),
+                             seed_rows=bd.NATIONS_MAX)
 
 
 def dim_datetime(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,16 +73,21 @@ def _star(spark: SparkSession, sf_dir: str):
     the staged feed; the other three are cheap to recompute."""
     w = _watch(spark, sf_dir)
     return (w, materialize(dims.dim_users(w), "dim-users"), dims.dim_movies(bd.movies(spark, sf_dir)),
-            dims.dim_location(w, bd.state_codes(spark, sf_dir)), dims.dim_datetime(spark))
+            dims.dim_location(w, bd.state_codes(spark, sf_dir), seed_rows=bd.NATIONS_MAX),
+            dims.dim_datetime(spark))
+
+
+# The spine is generated from fixed bounds, so its row count is known exactly.
+_BOUNDS = {"datetime_rows": dims.spine_hours()}
 
 
 def fact_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.fact_streams(*_star(spark, sf_dir))
+    return facts.fact_streams(*_star(spark, sf_dir), **_BOUNDS)
 
 
 def wide_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     w, u, m, loc, dt = _star(spark, sf_dir)
-    return facts.wide_streams(facts.fact_streams(w, u, m, loc, dt), u, m, loc, dt)
+    return facts.wide_streams(facts.fact_streams(w, u, m, loc, dt, **_BOUNDS), u, m, loc, dt, **_BOUNDS)
 
 
 def sanitized_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
