@@ -49,7 +49,7 @@ def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str], point:
               .select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)],
                       F.col(start).alias("_start"), F.col(end).alias("_end"),
                       *[F.col(t) for t in take]))
-    cond = [F.col(k).eqNullSafe(F.col(f"_r{i}")) for i, k in enumerate(keys)]
+    cond = [F.col(k) == F.col(f"_r{i}") for i, k in enumerate(keys)]
     cond += [F.col(point) >= F.col("_start"), F.col(point) < F.col("_end")]
     mapping = pairs.join(r, cond, "inner").select(*keys, point, *take)
     return left.join(mapping, list(keys) + [point], how)

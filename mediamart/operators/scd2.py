@@ -29,6 +29,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 OPEN_END = _dt.date(9999, 12, 31)
 
 
+# Bucket of rows whose order value is null (they sort first, as in the window).
+NULL_BUCKET = _dt.datetime(1, 1, 1)
+
+
 def change_runs(df: DataFrame, keys: Sequence[str], order: str, value: str,
                 carry: Sequence[str] = (), bucket: str = "hour", default: str = "NA",
                 flag_col: str = "lagged", run_col: str = "grouped") -> DataFrame:
@@ -38,20 +42,24 @@ def change_runs(df: DataFrame, keys: Sequence[str], order: str, value: str,
     ``flag = CASE WHEN LAG(value, 1, default) OVER w <> value THEN 1 ELSE 0 END``
     ``run  = SUM(flag) OVER w`` with ``w = PARTITION BY keys ORDER BY order, value``
     (default RANGE frame, so ordering peers share a run id).
+
+    The entity is carried as one struct column ``_k``: never null, and its
+    null fields compare equal, like a window's partition. Hashing on
+    (``_k``, bucket) once serves the distinct, the local windows, the bucket
+    summary and the join back, so the feed is shuffled exactly once.
     """
     keys, carry = list(keys), list(carry)
     cols = keys + carry + [value, order]
-    b = "_bucket"
+    k, b = "_k", "_bucket"
     x = (df.select(*cols)
-           .withColumn(b, F.date_trunc(bucket, F.col(order)))
-           # One shuffle for the whole chain: distinct, local windows and the
-           # bucket summary all run on this (entity, bucket) partitioning.
-           .repartition(*keys, b)
-           # the bucket is a function of ``order``: grouping by it too keeps
-           # the distinct on the partitioning above (no second exchange)
-           .dropDuplicates(cols + [b]))
-
-    w = Window.partitionBy(*keys, b).orderBy(order, value)
+           .withColumn(k, F.struct(*keys))
+           .withColumn(b, F.coalesce(F.date_trunc(bucket, F.col(order)), F.lit(NULL_BUCKET)))
+           .repartition(k, b)
+           # grouping by the (derived) key and bucket too keeps the distinct
+           # on the partitioning above (no second exchange)
+           .dropDuplicates(cols + [k, b]))
+
+    w = Window.partitionBy(k, b).orderBy(order, value)
     x = (x.withColumn("_rn", F.row_number().over(w))
           .withColumn("_prev", F.lag(value, 1).over(w))
           .withColumn("_chg", F.when((F.col("_rn") > 1) & (F.col("_prev") != F.col(value)), 1)
@@ -59,24 +67,20 @@ def change_runs(df: DataFrame, keys: Sequence[str], order: str, value: str,
           .withColumn("_cum", F.sum("_chg").over(w)))
 
     order_value = F.struct(F.col(order), F.col(value))
-    summary = x.groupBy(*keys, b).agg(
+    summary = x.groupBy(k, b).agg(
         F.min_by(value, order_value).alias("_first"),
         F.max_by(value, order_value).alias("_last"),
         F.sum("_chg").alias("_n"))
-    wb = Window.partitionBy(*keys).orderBy(b)
+    wb = Window.partitionBy(k).orderBy(b)
     summary = (summary
                .withColumn("_head", F.when(F.lag("_last", 1, default).over(wb) != F.col("_first"), 1)
                                      .otherwise(0))
                .withColumn("_before", F.coalesce(
                    F.sum(F.col("_n") + F.col("_head")).over(wb.rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)))
-               .select(*[F.col(k).alias(f"_s{i}") for i, k in enumerate(keys)],
-                       F.col(b).alias("_sb"), "_head", "_before"))
+               .select(F.col(k).alias("_sk"), F.col(b).alias("_sb"), "_head", "_before"))
 
-    cond = [F.col(k).eqNullSafe(F.col(f"_s{i}")) for i, k in enumerate(keys)]
-    # null-safe on every key: no inferred not-null filter on one side only, so
-    # both sides stay the same plan and share the one exchange of the feed
-    j = x.join(summary, cond + [F.col(b).eqNullSafe(F.col("_sb"))], "inner")
+    j = x.join(summary, (F.col(k) == F.col("_sk")) & (F.col(b) == F.col("_sb")), "inner")
     return j.select(
         *cols,
         (F.col("_chg") + F.when(F.col("_rn") == 1, F.col("_head")).otherwise(0)).cast("int").alias(flag_col),
@@ -101,13 +105,14 @@ def close_runs(runs: DataFrame, keys: Sequence[str], run_col: str = "grouped",
     ``RANK() OVER (... ORDER BY run DESC) = 1`` as a join of run g with g + 1.
     """
     keys = list(keys)
-    nxt = (runs.groupBy(*keys, run_col).agg(F.min(start_col).alias("_next"))
-               .select(*[F.col(k).alias(f"_n{i}") for i, k in enumerate(keys)],
-                       (F.col(run_col) - 1).alias("_nrun"), "_next"))
-    cond = [F.col(k).eqNullSafe(F.col(f"_n{i}")) for i, k in enumerate(keys)]
-    j = runs.join(nxt, cond + [F.col(run_col) == F.col("_nrun")], "left")
+    r = runs.withColumn("_k", F.struct(*keys))
+    nxt = (r.groupBy("_k", run_col).agg(F.min(start_col).alias("_next"))
+            .select(F.col("_k").alias("_nk"), F.col(run_col).alias("_nrun"), "_next",
+                    F.lit(True).alias("_has_next")))   # a next run may start on a null day
+    j = r.join(nxt, (F.col("_k") == F.col("_nk")) & ((F.col(run_col) + 1) == F.col("_nrun")), "left")
+    last = F.col("_has_next").isNull()
     return j.select(
         *runs.columns,
-        F.coalesce(F.col("_next"), F.lit(OPEN_END)).alias(end_col),
-        F.when(F.col("_next").isNull(), 1).otherwise(0).alias(current_col),
+        F.when(last, F.lit(OPEN_END)).otherwise(F.col("_next")).alias(end_col),
+        F.when(last, 1).otherwise(0).alias(current_col),
     )
