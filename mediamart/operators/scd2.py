@@ -102,16 +102,24 @@ def close_runs(runs: DataFrame, keys: Sequence[str], run_col: str = "grouped",
     """Expiration = start of the next run (open end if none); current = last run.
 
     ``LEAD(start, 1, '9999-12-31') OVER (PARTITION BY keys ORDER BY run)`` and
-    ``RANK() OVER (... ORDER BY run DESC) = 1`` as a join of run g with g + 1.
+    ``RANK() OVER (... ORDER BY run DESC) = 1``. Run ids are consecutive, so
+    "next run" is "run id + 1": every run also emits a marker under
+    ``run - 1`` carrying its start, and one window per (entity, run id) (the
+    run's own rows plus the markers of the next run: a handful of rows, never
+    a whole entity) picks it up. The runs are read once, no self-join.
     """
     keys = list(keys)
     r = runs.withColumn("_k", F.struct(*keys))
-    nxt = (r.groupBy("_k", run_col).agg(F.min(start_col).alias("_next"))
-            .select(F.col("_k").alias("_nk"), F.col(run_col).alias("_nrun"), "_next",
-                    F.lit(True).alias("_has_next")))   # a next run may start on a null day
-    j = r.join(nxt, (F.col("_k") == F.col("_nk")) & ((F.col(run_col) + 1) == F.col("_nrun")), "left")
-    last = F.col("_has_next").isNull()
-    return j.select(
+    own = r.withColumn("_marker", F.lit(False))
+    marker = r.withColumn(run_col, F.col(run_col) - 1).withColumn("_marker", F.lit(True))
+    w = Window.partitionBy("_k", run_col)
+    both = (own.unionByName(marker)
+               .withColumn("_next", F.min(F.when(F.col("_marker"), F.col(start_col))).over(w))
+               # a next run may start on a null day: presence is tracked apart
+               .withColumn("_has_next", F.max(F.col("_marker").cast("int")).over(w))
+               .filter(~F.col("_marker")))
+    last = F.col("_has_next") == 0
+    return both.select(
         *runs.columns,
         F.when(last, F.lit(OPEN_END)).otherwise(F.col("_next")).alias(end_col),
         F.when(last, 1).otherwise(0).alias(current_col),
