@@ -23,7 +23,11 @@ def tree(df) -> str:
             continue
         line = re.sub(r"#\d+L?", "", line)
         line = re.sub(r"Location: InMemoryFileIndex\([^)]*\)\[[^\]]*\]", "Location: ...", line)
-        keep.append(line[:200])
+        if "FileScan" in line:
+            head = line[:line.index("]") + 1]
+            parts = [m.group(0) for m in re.finditer(r"(PartitionFilters|PushedFilters): \[[^\]]*\]", line)]
+            line = " ".join([head] + [p[:110] for p in parts])
+        keep.append(line[:240])
     return "\n".join(keep)
 
 
