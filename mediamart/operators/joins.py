@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 # Largest dimension, in rows, that is ever broadcast on purpose. Above it the
 # planner's own size check (and AQE's runtime conversion) decides.
 BROADCAST_MAX_ROWS = 2_000_000
 
+# A join key with more rows than this on the big side is split into
+# ceil(rows / HOT_KEY_ROWS) salted parts, at most MAX_SALT_PARTS.
+HOT_KEY_ROWS = 2_000_000
+MAX_SALT_PARTS = 4096
+
 
 def bounded_broadcast(df: DataFrame, row_bound: int | None,
                       max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
@@ -26,8 +32,42 @@ def bounded_broadcast(df: DataFrame, row_bound: int | None,
     return df
 
 
+def hot_key_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str,
+                 key_counts: DataFrame, hot_rows: int = HOT_KEY_ROWS,
+                 max_parts: int = MAX_SALT_PARTS) -> DataFrame:
+    """``big.join(small, keys, how)`` with the hot keys of ``big`` salted.
+
+    ``key_counts`` holds (keys..., ``_n``): rows of ``big`` per key (callers
+    usually have it from a pre-aggregation). Keys above ``hot_rows`` are cut
+    into ``ceil(_n / hot_rows)`` parts: each big row gets a salt from a
+    deterministic hash of its own values (stable under task retries), and
+    the small side's rows of that key are repeated once per salt. Other keys
+    keep salt 0 and a single copy. Same rows as the plain join; no task ever
+    receives more than about ``hot_rows`` rows of one key. The hot-key list
+    is counted before it is broadcast; with no hot key the plain join is used.
+    """
+    keys = list(keys)
+    hot = (key_counts.filter(F.col("_n") > hot_rows)
+                     .select(*keys, F.least(F.lit(max_parts), F.ceil(F.col("_n") / F.lit(hot_rows)))
+                             .cast("int").alias("_parts")))
+    n_hot = hot.count()
+    if n_hot == 0:
+        return big.join(small, keys, how)
+    hot = bounded_broadcast(hot, n_hot)
+    salted_big = (big.join(hot, keys, "left")
+                     .withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]),
+                                                            F.col("_parts")), F.lit(0)).cast("int"))
+                     .drop("_parts"))
+    copies = (small.join(hot, keys, "left")
+                   .withColumn("_salt", F.explode(F.sequence(F.lit(0),
+                                                             F.coalesce(F.col("_parts"), F.lit(1)) - 1)))
+                   .drop("_parts"))
+    return salted_big.join(copies, keys + ["_salt"], how).drop("_salt")
+
+
 def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str], point: str,
-                  start: str, end: str, take: Sequence[str], how: str = "left") -> DataFrame:
+                  start: str, end: str, take: Sequence[str], how: str = "left",
+                  hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """As-of join: ``left`` rows to ``right`` rows of the same keys whose
     half-open interval [start, end) holds ``left[point]``.
 
@@ -35,16 +75,16 @@ def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str], point:
     but the range predicate is evaluated once per distinct (keys, point)
     pair, not per left row:
 
-    1. ``pairs`` = distinct (keys, point) of the left side (partial
-       aggregation first, so the shuffle is small even for a hot key);
+    1. ``pairs`` = (keys, point) of the left side with their row counts
+       (partial aggregation first, so the shuffle is small even for a hot key);
     2. pairs x right on keys with the range residual -> (keys, point, take...);
        empty intervals are dropped first, they can never match;
-    3. left x that mapping on the equi-key (keys, point).
-
-    The big side therefore meets a plain equi-join whose hot keys are split by
-    ``point`` (and by AQE's skew handling beyond that).
+    3. left x that mapping on the equi-key (keys, point), with (keys, point)
+       pairs above ``hot_rows`` rows salted (``hot_key_join``): the mapping
+       side is not a bare shuffle, so AQE's skew split would not apply.
     """
-    pairs = left.select(*keys, point).distinct()
+    pairs = (left.groupBy(*keys, point).agg(F.count(F.lit(1)).alias("_n"))
+                 .persist(StorageLevel.MEMORY_AND_DISK))
     r = (right.filter(F.col(end) > F.col(start))
               .select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)],
                       F.col(start).alias("_start"), F.col(end).alias("_end"),
@@ -52,4 +92,4 @@ def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str], point:
     cond = [F.col(k) == F.col(f"_r{i}") for i, k in enumerate(keys)]
     cond += [F.col(point) >= F.col("_start"), F.col(point) < F.col("_end")]
     mapping = pairs.join(r, cond, "inner").select(*keys, point, *take)
-    return left.join(mapping, list(keys) + [point], how)
+    return hot_key_join(left, mapping, list(keys) + [point], how, pairs, hot_rows)

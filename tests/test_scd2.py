@@ -128,3 +128,24 @@ def test_tracked_users_one_current_row_and_no_overlap(spark):
                        if r.rowActivationDate < r.rowExpirationDate)
         for (a0, a1), (b0, b1) in zip(spans, spans[1:]):
             assert a1 <= b0, uid
+
+
+def test_hot_key_salting_keeps_the_rows(spark):
+    """With a tiny hot threshold every busy (user, day) is salted; rows are unchanged."""
+    from mediamart.operators.joins import interval_join
+    rnd = random.Random(3)
+    ev = [(3 if rnd.random() < 0.4 else rnd.randint(4, 9),
+           dt.date(2024, 1, 1) + dt.timedelta(days=rnd.randint(0, 4)), i) for i in range(2000)]
+    left = spark.createDataFrame(ev, "userId long, day date, id long")
+    right = spark.createDataFrame(
+        [(3, dt.date(2024, 1, 1), dt.date(2024, 1, 3), "a"), (3, dt.date(2024, 1, 3), OPEN, "b"),
+         (3, dt.date(2024, 1, 2), dt.date(2024, 1, 4), "c"), (5, dt.date(2024, 1, 2), OPEN, "d"),
+         (6, dt.date(2024, 1, 2), dt.date(2024, 1, 2), "empty")],
+        "userId long, s date, e date, key string")
+    args = (["userId"], "day", "s", "e", ["key"])
+    plain = left.join(right, (left.userId == right.userId) & (left.day >= right.s) & (left.day < right.e),
+                      "left").select(left.userId, left.day, left.id, right.key)
+    want = sorted((tuple(r) for r in plain.collect()), key=repr)
+    for hot in (10, 10**9):
+        got = interval_join(left, right, *args, hot_rows=hot).select("userId", "day", "id", "key")
+        assert sorted((tuple(r) for r in got.collect()), key=repr) == want, hot
