@@ -39,3 +39,9 @@ def test_bad_ratings(spark):
     df = spark.createDataFrame([("8.1",), ("bad",), ("",), ("N/A",), ("NaN",)], "r string")
     kept = [r.v for r in df.select(safe_double("r").alias("v")).collect() if r.v is not None]
     assert kept == [8.1]
+
+
+def test_sanitize_more_cases():
+    assert sanitize_columns(["a__b", "_x_", "A B", "a_b", "a b", "", "9"]) == \
+        ["a_b", "x", "a_b_2", "a_b_3", "a_b_4", "c_", "c_9"]
+    assert sanitize_columns(["x", "x_2", "x"]) == ["x", "x_2", "x_3"]
