@@ -18,11 +18,12 @@ from ..sources import bindings as bd
 from ..sources import files
 
 
-def _watch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The staged watch feed, materialised once: every model downstream reads
-    it (users twice, locations, the fact), as they read the staging table."""
-    return materialize(staging.stage(bd.raw_feed(spark, sf_dir, "watch_events"), "watch_events"),
-                       "staged-watch")
+def _watch(spark: SparkSession, sf_dir: str, shared: bool = True) -> DataFrame:
+    """The staged watch feed. ``shared``: several models read it (users twice,
+    locations, the fact), so it is materialised once, as the staging table
+    they would read; a single reader takes it lazily."""
+    w = staging.stage(bd.raw_feed(spark, sf_dir, "watch_events"), "watch_events")
+    return materialize(w, "staged-watch") if shared else w
 
 
 def _stage(feed: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -33,7 +34,7 @@ def _stage(feed: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def dim_location(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dims.dim_location(_watch(spark, sf_dir), bd.state_codes(spark, sf_dir),
+    return dims.dim_location(_watch(spark, sf_dir, shared=False), bd.state_codes(spark, sf_dir),
                              seed_rows=bd.NATIONS_MAX)
 
 
@@ -46,11 +47,11 @@ def dim_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_level_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dims.user_level_changes(_watch(spark, sf_dir))
+    return dims.user_level_changes(_watch(spark, sf_dir, shared=False))
 
 
 def user_level_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dims.user_level_runs(_watch(spark, sf_dir))
+    return dims.user_level_runs(_watch(spark, sf_dir, shared=False))
 
 
 def dim_users(spark: SparkSession, sf_dir: str) -> DataFrame:
