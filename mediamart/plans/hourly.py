@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.staging import stage
 from ..schemas import HOUR_COL, staged_schema
-from ..sources.files import read_hours
+from ..sources.files import read_hours, ts_literal
 from ..sources.sinks import ensure_table, read_table, write_hours
 
 
@@ -48,8 +48,6 @@ def between_hours(df: DataFrame, start: _dt.datetime, end: _dt.datetime, ts_col:
     Filters on both the partition column (so the scan prunes folders) and on
     ``ts`` (exact bounds): a filter on ``ts`` alone cannot prune partitions.
     """
-    from pyspark.sql import functions as F
-    from ..sources.files import ts_literal
     lo = int(start.strftime("%Y%m%d%H"))
     hi = int((end - _dt.timedelta(microseconds=1)).strftime("%Y%m%d%H"))
     return df.filter((F.col(HOUR_COL) >= lo) & (F.col(HOUR_COL) <= hi)

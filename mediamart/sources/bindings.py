@@ -2,7 +2,7 @@
 
 The test tables (``events``, ``customer``, ``nation``, ``part``) hold none of
 the pipeline's entities, so they are derived here, in Spark, and the DuckDB
-oracle repeats the same derivation (``mediamart/oracle.py``):
+oracle repeats the same derivation (``mediamart/plans/oracle_sql.py``):
 
 * raw event feeds: every event is a watch event; clicks are also ad events,
   views page-view events, sign-ups and errors auth events. The user is the

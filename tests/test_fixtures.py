@@ -9,7 +9,6 @@ from mediamart.operators.staging import stage
 from mediamart.schemas import FEEDS
 from mediamart.session import scratch_path
 from mediamart.sources import files
-from mediamart.sources.sinks import read_table
 
 HERE = os.path.dirname(os.path.abspath(__file__))
 
