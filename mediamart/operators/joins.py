@@ -53,6 +53,10 @@ def hot_key_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str
     n_hot = hot.count()
     if n_hot == 0:
         return big.join(small, keys, how)
+    if n_hot > BROADCAST_MAX_ROWS:
+        # keep the largest keys (a bounded top-k); the rest stay unsplit
+        hot = hot.orderBy(F.col("_parts").desc()).limit(BROADCAST_MAX_ROWS)
+        n_hot = BROADCAST_MAX_ROWS
     hot = bounded_broadcast(hot, n_hot)
     salted_big = (big.join(hot, keys, "left")
                      .withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]),
