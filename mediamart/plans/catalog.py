@@ -111,7 +111,8 @@ def csv_to_parquet_by_genre(spark: SparkSession, sf_dir: str) -> DataFrame:
     loaded = files.load_genres(spark, registry)
     from ..sources.sinks import write_table
     write_table(loaded, f"{root}/parquet", partition_by="source_genre")
-    return spark.read.parquet(f"{root}/parquet")
+    # read back with the loader's schema: no type inference on folder names
+    return spark.read.schema(loaded.schema).parquet(f"{root}/parquet")
 
 
 def _raw_watch_hours(spark: SparkSession, sf_dir: str, root: str):
