@@ -41,3 +41,23 @@ def test_stream_stages_each_file_once_including_late_ones(spark):
     assert out.filter(F.col("city") != "NA").count() == 0        # null-filled on the way in
     assert [f.name for f in out.schema.fields][:len(FEEDS["watch_events"])] == \
         [f.name for f in FEEDS["watch_events"]]
+
+
+def test_hour_folder_without_year_keeps_only_the_asked_year(spark):
+    """The raw layout has no year: 2024 and 2025 rows of one hour share a folder."""
+    root = scratch_path(spark, "no-year")
+    raw = raw_rows(spark, "watch_events", [{"timestamp": T("2024-05-21 17:10:00"), "userId": 1},
+                                           {"timestamp": T("2025-05-21 17:20:00"), "userId": 2}])
+    files.write_raw_hours(raw, f"{root}/raw", "watch_events")
+    one = files.read_hours(spark, f"{root}/raw", "watch_events", T("2024-05-21 17:00:00"),
+                           T("2024-05-21 18:00:00"))
+    assert [r.userId for r in one.collect()] == [1]
+    # a backfill (day-folder read) applies the same bound
+    many = files.read_hours(spark, f"{root}/raw", "watch_events", T("2024-05-20 00:00:00"),
+                            T("2024-05-23 00:00:00"))
+    assert [r.userId for r in many.collect()] == [1]
+
+
+def test_genre_registry_alias():
+    reg = files.genre_registry("/data/imdb", ["action", "film_noir"])
+    assert reg == {"action": "/data/imdb/action.csv", "film_noir": "/data/imdb/film-noir.csv"}
