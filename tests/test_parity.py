@@ -20,8 +20,9 @@ def duck():
 
 
 def _norm(v):
-    if isinstance(v, float):
-        return "nan" if math.isnan(v) else round(v, 6)
+    # values must be identical: doubles included, no rounding
+    if isinstance(v, float) and math.isnan(v):
+        return "nan"
     return v
 
 
