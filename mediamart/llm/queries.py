@@ -4,16 +4,89 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mediamart.llm import near_dup
+from mediamart.llm import (decontaminate, fingerprints, language_id, mixing, near_dup, paragraph_dedup, secret_scan,
+                           sharding, suffix_dedup, toxicity)
 from mediamart.llm.common import table
 
 
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), percent=85, bands=24, rows=6)
 
 
-QUERIES = {
-    "op1_near_duplicates": op1_near_duplicates,
-}
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
-ORACLE: dict[str, str] = {}
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rows = sharding.shuffle_into_shards(docs.select("doc_id", "text"), shards=16)
+    return rows.select(
+        "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
+        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraph_dedup.repeated_paragraphs(table(spark, sf_dir, "documents"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.poisson_mixture(table(spark, sf_dir, "documents"))
+
+
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_near_duplicates, op2_suffix_dedup, op3_sharding, op4_secret_scan, op5_toxicity, op6_paragraph_dedup,
+    op7_language_id, op8_decontamination, op9_mixing, op10_fingerprints)}
+
+# The draw of operator 9, told in SQL. The shuffled order has no place in a bag of rows.
+MIXING_SQL = """
+WITH d AS (
+  SELECT *, coalesce('=' || source, 'null') AS source_key,
+         md5('7:' || coalesce(doc_id::VARCHAR, 'null') || ':' || coalesce(md5(text), 'null')) AS identity
+  FROM documents
+), n AS (SELECT source_key, count(*) AS n_docs FROM d GROUP BY 1),
+w AS (SELECT *, pow(n_docs::DOUBLE, 0.5) AS weight FROM n),
+r AS (
+  SELECT source_key, weight / (SELECT sum(weight::DECIMAL(38, 12))::DOUBLE FROM w)
+                     * (SELECT sum(n_docs)::DOUBLE FROM w) / n_docs AS rate
+  FROM w
+), l AS (SELECT *, greatest(ceil(rate / 16.0), 1)::INT AS pieces FROM r),
+p AS (
+  SELECT source_key, pieces, k, exp(-rate / pieces + k * ln(rate / pieces) - lgamma(k + 1)) AS p
+  FROM l, generate_series(0, 100) AS g(k)
+), c AS (
+  SELECT source_key, pieces, k, sum(p) OVER (PARTITION BY source_key ORDER BY k) AS cdf FROM p
+), cdf AS (SELECT source_key, pieces, list(cdf ORDER BY k) AS cdf FROM c GROUP BY 1, 2),
+u AS (
+  SELECT d.*, cdf,
+         list_transform(generate_series(1, pieces),
+           j -> ('0x' || substr(md5(identity || ':' || j), 1, 13))::BIGINT / 4503599627370496.0) AS draws
+  FROM d JOIN cdf USING (source_key)
+), k AS (
+  SELECT *, list_sum(list_transform(draws, x -> len(list_filter(cdf, q -> q <= x)))) AS copies FROM u
+)
+SELECT doc_id, text, lang, source, n_chars, unnest(generate_series(1, copies::BIGINT))::INT AS "copy"
+FROM k WHERE copies > 0
+"""
+
+ORACLE: dict[str, str] = {"op9_mixing": MIXING_SQL}
