@@ -18,8 +18,8 @@ from mediamart.session import materialize
 
 SHINGLE_WORDS = 5
 _FOLD = np.uint64(0x9E3779B97F4A7C15)
-_WORD_CACHE = 1 << 20
-_CHUNK_ENTRIES = 1 << 21
+_WORD_CACHE = 1 << 18
+_CHUNK_ENTRIES = 1 << 19
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -127,6 +127,13 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[bytes | None]:
     return batch.column(name).cast(pa.binary()).to_pylist()
 
 
+def sliced(batches, rows: int = 256):
+    """The batches in smaller ones, for work that holds all words of a batch."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, rows):
+            yield batch.slice(a, rows)
+
+
 def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
     prepare(df.sparkSession)
     return df.mapInArrow(fn, schema)

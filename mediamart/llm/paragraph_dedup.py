@@ -24,7 +24,7 @@ from mediamart.session import materialize
 
 MIN_WORDS = 10
 BANDS, ROWS = 16, 4
-_SEEN = 1 << 18
+_SEEN = 1 << 17
 _PARAGRAPHS = pa.schema([("doc_id", pa.int64()), ("paragraph", pa.int32()), ("n_words", pa.int32()),
                          ("node", pa.int64()), ("keys", pa.binary())])
 
@@ -65,7 +65,7 @@ def line_signatures(hasher: c.MinHash, lines: list[list[bytes]]) -> np.ndarray:
 def _paragraphs(docs: DataFrame, min_words: int) -> DataFrame:
     def run(batches):
         hasher, seen = c.MinHash(BANDS, ROWS), set()
-        for batch in batches:
+        for batch in c.sliced(batches):
             rows, fresh = [], []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), c.texts_of(batch)):
                 for i, _, words in long_lines(text, min_words):
