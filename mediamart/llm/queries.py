@@ -80,10 +80,10 @@ p AS (
 u AS (
   SELECT d.*, cdf,
          list_transform(generate_series(1, pieces),
-           j -> ('0x' || substr(md5(identity || ':' || j), 1, 13))::BIGINT / 4503599627370496.0) AS draws
+           lambda j: ('0x' || substr(md5(identity || ':' || j), 1, 13))::BIGINT / 4503599627370496.0) AS draws
   FROM d JOIN cdf USING (source_key)
 ), k AS (
-  SELECT *, list_sum(list_transform(draws, x -> len(list_filter(cdf, q -> q <= x)))) AS copies FROM u
+  SELECT *, list_sum(list_transform(draws, lambda x: len(list_filter(cdf, lambda q: q <= x)))) AS copies FROM u
 )
 SELECT doc_id, text, lang, source, n_chars, unnest(generate_series(1, copies::BIGINT))::INT AS "copy"
 FROM k WHERE copies > 0

@@ -1,0 +1,77 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from mediamart.llm import toxicity as tx
+
+
+def corpus(n=1200, seed=1):
+    rng = random.Random(seed)
+    rows, marks = [], []
+    for i in range(n):
+        toxic = rng.random() < 0.15
+        words = [f"w{int(rng.paretovariate(0.8)) % 5000}" for _ in range(rng.randrange(20, 120))]
+        if toxic:
+            words[3:3] = rng.sample(["vile", "scummy", "rotten", "wretch", "filth"], 2)
+        rows.append((i, " ".join(words), "en", "s"))
+        if rng.random() < 0.5:
+            marks.append((i, 1, int(toxic)))
+        rows[-1] = rows[-1][:4]
+    return rows, marks
+
+
+def labels(spark, marks):
+    return spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+
+
+def test_held_out_labels(documents, spark):
+    rows, marks = corpus()
+    got = {r.doc_id: r for r in tx.score_toxicity(documents(rows, extra=True), labels(spark, marks)).collect()}
+    assert len(got) == len(rows)
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 4 == 2) for i, r in got.items())
+    held = [(got[i], t) for i, _, t in marks if got[i].held_out]
+    assert np.mean([r.predicted == t for r, t in held]) > 0.97
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in got.values())
+
+
+def test_labels_of_the_held_out_part_do_not_matter(documents, spark):
+    rows, marks = corpus(400)
+    flipped = [(i, q, 1 - t if zlib.crc32(str(i).encode()) % 4 == 2 else t) for i, q, t in marks]
+    scores = [sorted((r.doc_id, r.score) for r in tx.score_toxicity(documents(rows), labels(spark, m)).collect()) for m in (marks, flipped)]
+    assert scores[0] == scores[1]
+
+
+def test_risk_gradient_is_the_slope():
+    rng = np.random.default_rng(1)
+    known = np.arange(6, dtype=np.int32)
+    p = tx.Examples([rng.choice(known, 3, replace=False) for _ in range(9)], known)
+    w, per = rng.normal(size=6), rng.normal(size=9)
+    g, b = p.gradient(per, 6)
+    for j in range(6):
+        up = w.copy()
+        up[j] += 1e-6
+        assert abs((per @ (p.scores(up, 0) - p.scores(w, 0))) / 1e-6 - g[j]) < 1e-4
+    assert abs(b - per.sum()) < 1e-12
+
+
+def test_edges(documents, spark):
+    marks = [(0, 1, 1), (1, 1, 0), (2, None, None), (None, 1, 1), (99, 1, 1)]
+    rows = [(0, "bad words", "en", "s"), (1, None, "en", "s"), (2, "", "en", "s"), (None, "x", "en", "s"), (0, "bad words", "en", "s")]
+    got = tx.score_toxicity(documents(rows), labels(spark, marks)).collect()
+    assert len(got) == 5 and all(0 <= r.score <= 1 for r in got)
+    assert tx.score_toxicity(documents([]).limit(0), labels(spark, marks)).collect() == []
+    none = tx.score_toxicity(documents(rows), labels(spark, [(1, 1, 0)])).collect()
+    assert all(r.score == pytest.approx(0) and r.predicted == 0 for r in none)
+
+
+def test_table_labels(spark):
+    docs, marks = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    truth = {r.doc_id: r.toxic for r in marks.collect()}
+    held = [r for r in tx.score_toxicity(docs, marks).collect() if r.held_out and r.doc_id in truth]
+    s = np.array([r.score for r in held])
+    y = np.array([truth[r.doc_id] for r in held])
+    rank = np.empty(len(s))
+    rank[np.argsort(s)] = np.arange(len(s))
+    assert (rank[y == 1].mean() - (y.sum() - 1) / 2) / (y == 0).sum() > 0.95
