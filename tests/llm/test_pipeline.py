@@ -2,7 +2,7 @@ from collections import Counter
 
 import corpus_pipeline
 from mediamart.llm import decontaminate, language_id, mixing, near_dup
-from test_near_dup import brute
+from llm.test_near_dup import brute
 
 SF = "/root/testdata/sf0.001"
 
