@@ -38,12 +38,10 @@ def user_history_audit(dim_users: DataFrame) -> DataFrame:
     """Per user-id class (unknown ids vs tracked users): rows, current rows,
     zero-length rows, and rows whose userKey repeats within the class."""
     cls = F.when(F.col("userId").isin(0, 1), F.lit("unknown_ids")).otherwise(F.lit("tracked"))
-    per_key = (dim_users.groupBy(cls.alias("users"), "userKey")
-                        .agg(F.count(F.lit(1)).alias("_n")))
-    shared = per_key.groupBy("users").agg(
+    per_key = dim_users.groupBy(cls.alias("users"), "userKey").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.count_if(F.col("currentRow") == 1).alias("_current"),
+        F.count_if(F.col("rowActivationDate") == F.col("rowExpirationDate")).alias("_empty"))
+    return per_key.groupBy("users").agg(
+        F.sum("_n").alias("rows"), F.sum("_current").alias("current_rows"), F.sum("_empty").alias("zero_length_rows"),
         F.sum(F.when(F.col("_n") > 1, F.col("_n")).otherwise(0)).cast("bigint").alias("rows_sharing_key"))
-    base = dim_users.groupBy(cls.alias("users")).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col("currentRow") == 1).alias("current_rows"),
-        F.count_if(F.col("rowActivationDate") == F.col("rowExpirationDate")).alias("zero_length_rows"))
-    return base.join(shared, "users", "left")

@@ -19,7 +19,7 @@ WEEKEND_DAYS = (6, 7)
 
 # The unknown members of the location and movie dimensions.
 UNKNOWN = "NA"
-UNKNOWN_MOVIE_ID = "N" * 19
+UNKNOWN_MOVIE_ID = "NNNNNNNNNNNNNNNNNNN"
 
 USER_KEYS = ["userId", "firstName", "lastName", "gender", "dateOfBirth"]
 
@@ -82,35 +82,30 @@ def dim_location(watch: DataFrame, state_codes: DataFrame, trim_codes: bool = Fa
                        "*")
 
 
-_MOVIE_RENAMES = [
-    ("movie_id", "movieId"), ("movie_name", "movieName"), ("year", "year"),
-    ("certificate", "certificate"), ("runtime", "runtime"), ("genre", "genre"),
-    ("rating", "rating"), ("description", "description"), ("director", "director"),
-    ("director_id", "directorId"), ("star", "star"), ("star_id", "starId"),
-    ("votes", "votes"), ("gross_in", "gross"),
+# Catalogue column, its name in the dimension, its type, the unknown movie's value.
+_MOVIE_COLUMNS = [
+    ("movie_id", "movieId", "string", UNKNOWN_MOVIE_ID),
+    ("movie_name", "movieName", "string", UNKNOWN),
+    ("year", "year", "bigint", 0),
+    ("certificate", "certificate", "string", UNKNOWN),
+    ("runtime", "runtime", "string", UNKNOWN),
+    ("genre", "genre", "string", UNKNOWN),
+    ("rating", "rating", "double", 0.0),
+    ("description", "description", "string", UNKNOWN),
+    ("director", "director", "string", UNKNOWN),
+    ("director_id", "directorId", "string", UNKNOWN),
+    ("star", "star", "string", UNKNOWN),
+    ("star_id", "starId", "string", UNKNOWN),
+    ("votes", "votes", "bigint", 0),
+    ("gross_in", "gross", "double", 0.0),
 ]
 
 
 def dim_movies(movies: DataFrame) -> DataFrame:
     """Catalogue renamed to camel case, plus the unknown movie; key = md5(movieId)."""
-    typed = movies.select(
-        F.col("movie_id").cast("string").alias("movieId"),
-        F.col("movie_name").cast("string").alias("movieName"),
-        F.col("year").cast("bigint").alias("year"),
-        *[F.col(src).cast("string").alias(dst) for src, dst in _MOVIE_RENAMES[3:6]],
-        F.col("rating").try_cast("double").alias("rating"),
-        *[F.col(src).cast("string").alias(dst) for src, dst in _MOVIE_RENAMES[7:12]],
-        F.col("votes").cast("bigint").alias("votes"),
-        F.col("gross_in").try_cast("double").alias("gross"),
-    )
+    typed = movies.select(*[F.col(src).try_cast(kind).alias(name) for src, name, kind, _ in _MOVIE_COLUMNS])
     unknown = movies.sparkSession.range(1).select(
-        F.lit(UNKNOWN_MOVIE_ID).alias("movieId"), F.lit(UNKNOWN).alias("movieName"),
-        F.lit(0).cast("bigint").alias("year"), F.lit(UNKNOWN).alias("certificate"),
-        F.lit(UNKNOWN).alias("runtime"), F.lit(UNKNOWN).alias("genre"),
-        F.lit(0.0).alias("rating"), F.lit(UNKNOWN).alias("description"),
-        F.lit(UNKNOWN).alias("director"), F.lit(UNKNOWN).alias("directorId"),
-        F.lit(UNKNOWN).alias("star"), F.lit(UNKNOWN).alias("starId"),
-        F.lit(0).cast("bigint").alias("votes"), F.lit(0.0).alias("gross"))
+        *[F.lit(value).cast(kind).alias(name) for _, name, kind, value in _MOVIE_COLUMNS])
     return typed.unionByName(unknown).select(surrogate_key("movieId").alias("movieKey"), "*")
 
 
@@ -131,7 +126,7 @@ def dim_users(watch: DataFrame, unknown_ids: Sequence[int] = (0, 1), bucket: str
     """Users with level history as SCD2 rows, plus one open row per level of
     each unknown user id. ``unknown_ids`` defaults to (0, 1) as in the
     reference, so user 1 is in both branches (D9 in SURVEY)."""
-    runs = close_runs(user_level_runs(watch, bucket), USER_KEYS)
+    runs = close_runs(user_level_runs(watch, bucket), USER_KEYS, ties=["registration"])
     tracked = runs.select(
         F.col("userId").cast("bigint").alias("userId"), "firstName", "lastName", "gender",
         "dateOfBirth", "level", F.col("registration").cast("bigint").alias("registration"),

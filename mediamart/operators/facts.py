@@ -6,13 +6,23 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import clean_title, day_of, hour_key, hour_of
 from ..schemas import HOUR_COL
-from .joins import bounded_broadcast, interval_join
+from .joins import HOT_KEY_ROWS, bounded_broadcast, hot_keys, interval_join
+
+
+def _days(watch: DataFrame) -> DataFrame:
+    return watch.withColumn("_day", day_of("ts"))
+
+
+def hot_user_days(watch: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """The (user, day) pairs whose events are split in the as-of join."""
+    return hot_keys(_days(watch), ["userId", "_day"], hot_rows)
 
 
 def fact_streams(watch: DataFrame, dim_users: DataFrame, dim_movies: DataFrame,
                  dim_location: DataFrame, dim_datetime: DataFrame,
                  movie_rows: int | None = None, location_rows: int | None = None,
-                 datetime_rows: int | None = None, with_hour: bool = False) -> DataFrame:
+                 datetime_rows: int | None = None, with_hour: bool = False,
+                 hot: DataFrame | None = None) -> DataFrame:
     """One row per watch event and matching dimension row (left joins).
 
     * user: as-of join on userId and the event day in
@@ -22,15 +32,17 @@ def fact_streams(watch: DataFrame, dim_users: DataFrame, dim_movies: DataFrame,
     * date: the event hour = the spine hour.
 
     ``*_rows`` are proven row bounds of the dimensions (e.g. counts of the
-    written tables); a dimension is broadcast only under such a bound, else
-    the planner picks the strategy from its own size estimate and AQE.
+    written tables); a dimension is broadcast only where they fit, else the
+    planner picks the strategy from its own size estimate, and AQE splits the
+    skew of a hot title or place (both sides are then bare shuffles). ``hot`` is
+    the written ``hot_user_days`` of the feed.
     """
-    w = watch.select("ts", "userId", "video", "city", "state", "lat", "lon",
-                     day_of("ts").alias("_day"), hour_of("ts").alias("_hour"),
+    w = _days(watch).select("ts", "userId", "video", "city", "state", "lat", "lon",
+                     "_day", hour_of("ts").alias("_hour"),
                      clean_title("video").alias("_title"))
     u = dim_users.select("userId", "userKey", "rowActivationDate", "rowExpirationDate")
     x = interval_join(w, u, ["userId"], "_day", "rowActivationDate", "rowExpirationDate",
-                      take=["userKey"], how="left")
+                      take=["userKey"], how="left", hot=hot)
 
     m = dim_movies.select(F.col("movieName").alias("_title"), F.col("movieKey").alias("videoKey"))
     x = x.join(bounded_broadcast(m, movie_rows), "_title", "left")

@@ -4,66 +4,68 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
-# Largest dimension, in rows, that is ever broadcast on purpose. Above it the
-# planner's own size check (and AQE's runtime conversion) decides.
-BROADCAST_MAX_ROWS = 2_000_000
+# A dimension is broadcast on purpose only where its rows, at the width of its
+# schema, fit into this. Above it the planner's own size check (and AQE's
+# runtime conversion) decides.
+BROADCAST_MAX_BYTES = 128 << 20
+STRING_BYTES = 64   # assumed width of a text cell, header included
 
 # A join key with more rows than this on the big side is split into
-# ceil(rows / HOT_KEY_ROWS) salted parts, at most MAX_SALT_PARTS.
+# ceil(rows / HOT_KEY_ROWS) salted parts.
 HOT_KEY_ROWS = 2_000_000
-MAX_SALT_PARTS = 4096
+
+
+def row_bytes(df: DataFrame) -> int:
+    """Width of a row by its schema: texts at STRING_BYTES, others at 8 bytes."""
+    return sum(STRING_BYTES if t == "string" else 8 for _, t in df.dtypes)
 
 
 def bounded_broadcast(df: DataFrame, row_bound: int | None,
-                      max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when its proven row bound fits.
-
-    ``row_bound`` must be an upper bound known without running the data: a
-    fixed table size, a primary-key range, the length of a generated spine, or
-    the row count of an already written table. Without one, or beyond
-    ``max_rows``, the DataFrame is returned unchanged so that a shuffle join
-    (sort-merge, AQE skew-split) remains the way beyond the limit.
+                      max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast ``df`` only when its proven row bound times its width fits.
+
+    ``row_bound`` must be an upper bound known without running the data: the
+    length of a generated spine, or the row count of an already written table.
+    Without one, or beyond ``max_bytes``, the DataFrame is returned unchanged
+    so that a shuffle join (sort-merge, AQE skew-split) remains the way beyond
+    the limit.
     """
-    if row_bound is not None and row_bound <= max_rows:
+    if row_bound is not None and row_bound * row_bytes(df) <= max_bytes:
         return F.broadcast(df)
     return df
 
 
+def hot_keys(big: DataFrame, keys: Sequence[str], hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """(keys..., ``_parts``) of every key with more than ``hot_rows`` rows, from one
+    partially aggregated count. Write it before giving it to a join, so that it
+    is counted once and the planner knows its size."""
+    n = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
+    return n.select(*keys, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("long").alias("_parts"))
+
+
 def hot_key_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str,
-                 key_counts: DataFrame, hot_rows: int = HOT_KEY_ROWS,
-                 max_parts: int = MAX_SALT_PARTS) -> DataFrame:
-    """``big.join(small, keys, how)`` with the hot keys of ``big`` salted.
-
-    ``key_counts`` holds (keys..., ``_n``): rows of ``big`` per key (callers
-    usually have it from a pre-aggregation). Keys above ``hot_rows`` are cut
-    into ``ceil(_n / hot_rows)`` parts: each big row gets a salt from a
-    deterministic hash of its own values (stable under task retries), and
-    the small side's rows of that key are repeated once per salt. Other keys
-    keep salt 0 and a single copy. Same rows as the plain join; no task ever
-    receives more than about ``hot_rows`` rows of one key. The hot-key list
-    is counted before it is broadcast; with no hot key the plain join is used.
+                 hot: DataFrame | None) -> DataFrame:
+    """``big.join(small, keys, how)`` with the ``hot`` keys of ``big`` salted.
+
+    ``hot`` is a written ``hot_keys`` table (None: plain join, whose skew AQE
+    splits where both sides are bare shuffles). A hot key's rows are dealt over
+    its parts by their place in ``big``, so equal rows part too; the small side's
+    rows of that key are repeated once per part. Other keys keep salt 0 and a
+    single copy. There is no bound on keys or parts; whether ``hot`` is broadcast
+    is the planner's choice by its size. ``big`` must be a repeatable read
+    (a table), since a row's place decides its salt.
     """
     keys = list(keys)
-    hot = (key_counts.filter(F.col("_n") > hot_rows)
-                     .select(*keys, F.least(F.lit(max_parts), F.ceil(F.col("_n") / F.lit(hot_rows)))
-                             .cast("int").alias("_parts")))
-    n_hot = hot.count()
-    if n_hot == 0:
+    if hot is None:
         return big.join(small, keys, how)
-    if n_hot > BROADCAST_MAX_ROWS:
-        # keep the largest keys (a bounded top-k); the rest stay unsplit
-        hot = hot.orderBy(F.col("_parts").desc()).limit(BROADCAST_MAX_ROWS)
-        n_hot = BROADCAST_MAX_ROWS
-    hot = bounded_broadcast(hot, n_hot)
-    salted_big = (big.join(hot, keys, "left")
-                     .withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]),
-                                                            F.col("_parts")), F.lit(0)).cast("int"))
-                     .drop("_parts"))
+    placed = big.withColumn("_place", F.monotonically_increasing_id())
+    salted_big = (placed.join(hot, keys, "left")
+                        .withColumn("_salt", F.coalesce(F.pmod(F.xxhash64("_place"), F.col("_parts")), F.lit(0)))
+                        .drop("_parts", "_place"))
     copies = (small.join(hot, keys, "left")
-                   .withColumn("_salt", F.explode(F.sequence(F.lit(0),
+                   .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"),
                                                              F.coalesce(F.col("_parts"), F.lit(1)) - 1)))
                    .drop("_parts"))
     return salted_big.join(copies, keys + ["_salt"], how).drop("_salt")
@@ -71,7 +73,7 @@ def hot_key_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str
 
 def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str], point: str,
                   start: str, end: str, take: Sequence[str], how: str = "left",
-                  hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+                  hot: DataFrame | None = None) -> DataFrame:
     """As-of join: ``left`` rows to ``right`` rows of the same keys whose
     half-open interval [start, end) holds ``left[point]``.
 
@@ -79,16 +81,17 @@ def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str], point:
     but the range predicate is evaluated once per distinct (keys, point)
     pair, not per left row:
 
-    1. ``pairs`` = (keys, point) of the left side with their row counts
-       (partial aggregation first, so the shuffle is small even for a hot key);
+    1. ``pairs`` = distinct (keys, point) of the left side (partial aggregation
+       first, so the shuffle is small even for a hot key);
     2. pairs x right on keys with the range residual -> (keys, point, take...);
        empty intervals are dropped first, they can never match;
-    3. left x that mapping on the equi-key (keys, point), with (keys, point)
-       pairs above ``hot_rows`` rows salted (``hot_key_join``): the mapping
+    3. left x that mapping on the equi-key (keys, point), salted for the pairs in
+       ``hot`` (a written ``hot_keys(left, keys + [point])``): the mapping
        side is not a bare shuffle, so AQE's skew split would not apply.
+
+    Nothing runs while the plan is built and nothing stays cached.
     """
-    pairs = (left.groupBy(*keys, point).agg(F.count(F.lit(1)).alias("_n"))
-                 .persist(StorageLevel.MEMORY_AND_DISK))
+    pairs = left.select(*keys, point).distinct()
     r = (right.filter(F.col(end) > F.col(start))
               .select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)],
                       F.col(start).alias("_start"), F.col(end).alias("_end"),
@@ -96,4 +99,4 @@ def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str], point:
     cond = [F.col(k) == F.col(f"_r{i}") for i, k in enumerate(keys)]
     cond += [F.col(point) >= F.col("_start"), F.col(point) < F.col("_end")]
     mapping = pairs.join(r, cond, "inner").select(*keys, point, *take)
-    return hot_key_join(left, mapping, list(keys) + [point], how, pairs, hot_rows)
+    return hot_key_join(left, mapping, list(keys) + [point], how, hot)

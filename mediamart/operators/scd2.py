@@ -14,9 +14,8 @@ are computed with the entity's timeline cut into time buckets:
   running sum.
 
 Runs then come from a grouped ``MIN`` (partial aggregation absorbs hot keys)
-and the expiration date and current flag from an equi-join of run ``g`` with
-run ``g + 1``: run ids are consecutive, so "next run" is an equi-key, not a
-window.
+and the expiration date and current flag from run ``g`` and run ``g + 1``: run ids
+are consecutive, so "next run" is an equi-key, not a window over the entity.
 """
 
 from __future__ import annotations
@@ -40,8 +39,9 @@ def change_runs(df: DataFrame, keys: Sequence[str], order: str, value: str,
 
     Equal to
     ``flag = CASE WHEN LAG(value, 1, default) OVER w <> value THEN 1 ELSE 0 END``
-    ``run  = SUM(flag) OVER w`` with ``w = PARTITION BY keys ORDER BY order, value``
-    (default RANGE frame, so ordering peers share a run id).
+    ``run  = SUM(flag) OVER w`` with ``w = PARTITION BY keys ORDER BY order, value,
+    carry...``. Rows that differ in carried columns only have the same level, so at
+    most the first of them is a change and they share a run id.
 
     The entity is carried as one struct column ``_k``: never null, and its
     null fields compare equal, like a window's partition. Hashing on
@@ -59,7 +59,7 @@ def change_runs(df: DataFrame, keys: Sequence[str], order: str, value: str,
            # on the partitioning above (no second exchange)
            .dropDuplicates(cols + [k, b]))
 
-    w = Window.partitionBy(k, b).orderBy(order, value)
+    w = Window.partitionBy(k, b).orderBy(order, value, *carry)
     x = (x.withColumn("_rn", F.row_number().over(w))
           .withColumn("_prev", F.lag(value, 1).over(w))
           .withColumn("_chg", F.when((F.col("_rn") > 1) & (F.col("_prev") != F.col(value)), 1)
@@ -97,30 +97,33 @@ def run_starts(changes: DataFrame, keys: Sequence[str], order: str, value: str,
 
 
 def close_runs(runs: DataFrame, keys: Sequence[str], run_col: str = "grouped",
-               start_col: str = "minDate", end_col: str = "rowExpirationDate",
-               current_col: str = "currentRow") -> DataFrame:
-    """Expiration = start of the next run (open end if none); current = last run.
-
-    ``LEAD(start, 1, '9999-12-31') OVER (PARTITION BY keys ORDER BY run)`` and
-    ``RANK() OVER (... ORDER BY run DESC) = 1``. Run ids are consecutive, so
-    "next run" is "run id + 1": every run also emits a marker under
-    ``run - 1`` carrying its start, and one window per (entity, run id) (the
-    run's own rows plus the markers of the next run: a handful of rows, never
-    a whole entity) picks it up. The runs are read once, no self-join.
+               start_col: str = "minDate", ties: Sequence[str] = (),
+               end_col: str = "rowExpirationDate", current_col: str = "currentRow") -> DataFrame:
+    """Expiration = start of the next row (open end if none); current = last run.
+
+    Rows of an entity follow each other by (run, start, ties...). A run has several
+    rows when a carried attribute changes inside it: each but the last then
+    ends where the next one starts, so intervals never overlap. Every row of the
+    last run is current (they share its rank).
+
+    No window holds a whole entity. Run ids are consecutive, so every row also
+    emits a marker under ``run - 1``; one window per (entity, run) then holds
+    the run's rows followed by the next run's, and the next row is the one after.
     """
     keys = list(keys)
-    r = runs.withColumn("_k", F.struct(*keys))
-    own = r.withColumn("_marker", F.lit(False))
-    marker = r.withColumn(run_col, F.col(run_col) - 1).withColumn("_marker", F.lit(True))
-    w = Window.partitionBy("_k", run_col)
-    both = (own.unionByName(marker)
-               .withColumn("_next", F.min(F.when(F.col("_marker"), F.col(start_col))).over(w))
-               # a next run may start on a null day: presence is tracked apart
-               .withColumn("_has_next", F.max(F.col("_marker").cast("int")).over(w))
-               .filter(~F.col("_marker")))
-    last = F.col("_has_next") == 0
+    own = runs.withColumn("_k", F.struct(*keys)).withColumn("_marker", F.lit(False))
+    first = (own.groupBy("_k", run_col).agg(F.min(start_col).alias(start_col), F.lit(True).alias("_marker"))
+                .withColumn(run_col, F.col(run_col) - 1))
+    both = own.unionByName(first, allowMissingColumns=True)
+    run = Window.partitionBy("_k", run_col)
+    order = run.orderBy("_marker", start_col, *ties)
+    both = (both.withColumn("_next", F.lead(start_col).over(order))
+                # a next row may start on a null day: presence is tracked apart
+                .withColumn("_has_next", F.lead(F.lit(1), 1, 0).over(order))
+                .withColumn("_last_run", ~F.bool_or("_marker").over(run))
+                .filter(~F.col("_marker")))
     return both.select(
         *runs.columns,
-        F.when(last, F.lit(OPEN_END)).otherwise(F.col("_next")).alias(end_col),
-        F.when(last, 1).otherwise(0).alias(current_col),
+        F.when(F.col("_has_next") == 1, F.col("_next")).otherwise(F.lit(OPEN_END)).alias(end_col),
+        F.col("_last_run").cast("int").alias(current_col),
     )

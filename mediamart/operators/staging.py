@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import hour_key
 from ..schemas import FEEDS, HOUR_COL
 
 
-def stage(raw: DataFrame, feed: str, with_hour: bool = False) -> DataFrame:
+def stage(raw: DataFrame, feed: str, with_hour: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """One projection: each staged column is ``coalesce(raw, default)``.
 
     Columns come out in the staging schema's order and types, selected by
     name, so a later write can never land a value in the wrong column.
     Longitude and latitude of the auth feed pass through DECIMAL(38,9)
-    first, as the reference does.
+    first, as the reference does. ``keep`` names further raw columns to carry.
     """
     exprs = []
     for f in FEEDS[feed]:
@@ -27,7 +29,7 @@ def stage(raw: DataFrame, feed: str, with_hour: bool = False) -> DataFrame:
         else:
             value = F.coalesce(src.cast(f.dtype), F.lit(f.default).cast(f.dtype))
         exprs.append(value.cast(f.dtype).alias(f.name))
-    out = raw.select(*exprs)
+    out = raw.select(*exprs, *keep)
     if with_hour:
         out = out.withColumn(HOUR_COL, hour_key("ts"))
     return out

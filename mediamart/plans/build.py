@@ -5,22 +5,24 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from ..operators import dims, facts
 from ..operators.staging import stage
 from ..schemas import FEED_NAMES, HOUR_COL, staged_schema
-from ..sources.sinks import by_name, cluster_by_time, read_table, write_table
+from ..sources.sinks import by_name, cluster_by_hour, read_table, write_table
 
 
 @dataclass
 class Built:
     root: str
     paths: dict[str, str] = field(default_factory=dict)
-    rows: dict[str, int] = field(default_factory=dict)
+
+    schemas: dict[str, T.StructType] = field(default_factory=dict)
 
     def table(self, spark: SparkSession, name: str) -> DataFrame:
-        return spark.read.parquet(self.paths[name])
+        """A written table, with the schema it was written with."""
+        return read_table(spark, self.paths[name], self.schemas[name])
 
 
 def build_star(spark: SparkSession, raw_feeds: dict[str, DataFrame], state_codes: DataFrame,
@@ -43,18 +45,16 @@ def build_star(spark: SparkSession, raw_feeds: dict[str, DataFrame], state_codes
     def save(name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
         path = f"{out.root}/{name}"
         write_table(df, path, partition_by)
-        out.paths[name] = path
-        back = spark.read.parquet(path)
-        out.rows[name] = back.count()
-        return back
+        out.paths[name], out.schemas[name] = path, df.schema
+        return out.table(spark, name)
 
     seed = save("state_codes", state_codes)
 
     def stage_feed(feed: str) -> None:
         path = f"{out.root}/staging/{feed}"
         staged = by_name(stage(raw_feeds[feed], feed, with_hour=True), staged_schema(feed, with_hour=True))
-        write_table(cluster_by_time(staged), path, HOUR_COL)
-        out.paths[feed] = path
+        write_table(cluster_by_hour(staged), path, HOUR_COL)
+        out.paths[feed], out.schemas[feed] = path, staged.schema
 
     with ThreadPoolExecutor(max_workers=threads) as pool:
         list(pool.map(stage_feed, [f for f in FEED_NAMES if f in raw_feeds]))
@@ -63,8 +63,7 @@ def build_star(spark: SparkSession, raw_feeds: dict[str, DataFrame], state_codes
     models = {
         "dim_datetime": lambda: dims.dim_datetime(spark),
         "dim_location": lambda: dims.dim_location(watch, seed, trim_codes=trim_codes,
-                                                  dedupe_unknown=dedupe_unknown,
-                                                  seed_rows=out.rows["state_codes"]),
+                                                  dedupe_unknown=dedupe_unknown, seed_rows=seed.count()),
         "dim_movies": lambda: dims.dim_movies(movies),
         "dim_users": lambda: dims.dim_users(watch, unknown_ids=unknown_ids),
     }
@@ -72,13 +71,10 @@ def build_star(spark: SparkSession, raw_feeds: dict[str, DataFrame], state_codes
         done = dict(zip(models, pool.map(lambda name: save(name, models[name]()), models)))
     dt, loc, mov, usr = (done[k] for k in ("dim_datetime", "dim_location", "dim_movies", "dim_users"))
 
-    bounds = dict(movie_rows=out.rows["dim_movies"], location_rows=out.rows["dim_location"],
-                  datetime_rows=out.rows["dim_datetime"])
-    fact = facts.fact_streams(watch, usr, mov, loc, dt, with_hour=True, **bounds)
-    path = f"{out.root}/fact_streams"
-    write_table(cluster_by_time(fact), path, HOUR_COL)
-    out.paths["fact_streams"] = path
-    fact_back = spark.read.parquet(path)
-    facts.wide_streams(fact_back, usr, mov, loc, dt, user_rows=out.rows["dim_users"],
+    bounds = dict(movie_rows=mov.count(), location_rows=loc.count(), datetime_rows=dt.count())   # from file footers
+    hot = save("hot_user_days", facts.hot_user_days(watch))
+    fact = facts.fact_streams(watch, usr, mov, loc, dt, with_hour=True, hot=hot, **bounds)
+    fact_back = save("fact_streams", cluster_by_hour(fact), HOUR_COL)
+    facts.wide_streams(fact_back, usr, mov, loc, dt, user_rows=usr.count(),
                        **bounds).createOrReplaceTempView("wide_streams")
     return out

@@ -7,7 +7,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.staging import stage
-from ..schemas import HOUR_COL, staged_schema
+from ..schemas import HOUR_COL, LOAD_COL, staged_schema
 from ..sources.files import read_hours, ts_literal
 from ..sources.sinks import ensure_table, read_table, write_hours
 
@@ -21,25 +21,29 @@ def load_hours(spark: SparkSession, raw_root: str, feed: str, table_path: str,
     Steps: create the staging table if absent; register the hour's rows
     under a transient name ``{feed}_{MMddHH}``; null-fill; write by name into
     the hour partitions (``append`` or idempotent ``overwrite``); drop the
-    transient name. Returns False when no hour folder exists.
+    transient name. Every row of the folders is loaded. The table is partitioned
+    by the hour it was loaded from and the hour of its time, so re-running an hour
+    with a late row replaces that hour's load only. Returns False when no
+    folder exists.
     """
     end = end or start + _dt.timedelta(hours=1)
-    schema = staged_schema(feed, with_hour=True)
-    ensure_table(spark, table_path, schema, HOUR_COL)
+    schema = staged_schema(feed, with_hour=True, with_load=True)
+    ensure_table(spark, table_path, schema, [LOAD_COL, HOUR_COL])
     raw = read_hours(spark, raw_root, feed, start, end)
     if raw is None:
         return False
     view = f"{feed}_{start:%m%d%H}"
     raw.createOrReplaceTempView(view)
     try:
-        write_hours(stage(spark.table(view), feed, with_hour=True), table_path, mode, schema)
+        write_hours(stage(spark.table(view), feed, with_hour=True, keep=[LOAD_COL]), table_path, mode, schema,
+                    partition_by=[LOAD_COL, HOUR_COL])
     finally:
         spark.catalog.dropTempView(view)
     return True
 
 
 def read_staging(spark: SparkSession, table_path: str, feed: str) -> DataFrame:
-    return read_table(spark, table_path, staged_schema(feed, with_hour=True))
+    return read_table(spark, table_path, staged_schema(feed, with_hour=True, with_load=True))
 
 
 def between_hours(df: DataFrame, start: _dt.datetime, end: _dt.datetime, ts_col: str = "ts") -> DataFrame:

@@ -80,11 +80,16 @@ FEED_NAMES = list(FEEDS)
 # Partition column of staging and fact tables: the event hour as yyyyMMddHH
 # (the year is part of it, unlike the raw month/day/hour layout).
 HOUR_COL = "ts_hour"
+# Partition column next to it in hourly staging tables: the hour folder a row was
+# loaded from. A re-run replaces its own folder's rows, wherever their times lie.
+LOAD_COL = "load_hour"
 HOUR_FORMAT = "yyyyMMddHH"
 
 
-def staged_schema(feed: str, with_hour: bool = False) -> T.StructType:
+def staged_schema(feed: str, with_hour: bool = False, with_load: bool = False) -> T.StructType:
     fields = [T.StructField(f.name, f.dtype, True) for f in FEEDS[feed]]
+    if with_load:
+        fields.append(T.StructField(LOAD_COL, L, True))
     if with_hour:
         fields.append(T.StructField(HOUR_COL, L, True))
     return T.StructType(fields)
@@ -102,7 +107,3 @@ MOVIE_COLUMNS: list[tuple[str, T.DataType]] = [
     ("genre", S), ("rating", D), ("description", S), ("director", S), ("director_id", S),
     ("star", S), ("star_id", S), ("votes", L), ("gross_in", D),
 ]
-
-STATE_CODES_SCHEMA = T.StructType([
-    T.StructField("stateCode", S, True), T.StructField("stateName", S, True),
-])

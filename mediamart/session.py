@@ -46,13 +46,16 @@ def shared_root(spark: SparkSession) -> str:
     """Root of the shared scratch folder.
 
     On a cluster this is the folder named by ``spark.checkpoint.dir`` (shared
-    storage every executor can reach). Only when it is unset, as in local tests,
-    a temporary folder is created and registered as the checkpoint dir.
+    storage every executor can reach). Where it is unset, a local session (as in
+    tests) gets a temporary folder; a cluster session gets an error, since a
+    folder of one machine would be short on the others.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
         root = sc.getCheckpointDir()
+    if not root and not sc.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="mediamart-")
         sc.setCheckpointDir(root)

@@ -9,23 +9,21 @@ oracle repeats the same derivation (``mediamart/plans/oracle_sql.py``):
   customer, the place is the customer's nation, the video is a part.
 * seed ``state_codes``: one code per nation name; nations 23 and 24 are left
   out on purpose so that some event states have no code (D13 in SURVEY).
-* movie catalogue: one movie per part, the part type as genre.
+* movie catalogue: one movie per part; the sixteen genres take turns by part key, and
+  vote counts are spelled ``100.0`` with gaps, as a column of integers with gaps is.
+* hourly folders: an event arrives zero to two hours after its time, and now and
+  then without one.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..operators.joins import bounded_broadcast
+from ..session import scratch_path
+from .files import GENRES, conform_movies, read_seed
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-          "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
-
-# Binding parameters: events pick their video among this many catalogue
-# entries (by event id); nations at or above SEED_NATIONS have no state code.
-VIDEO_CATALOGUE = 200
+# Binding parameter: nations at or above SEED_NATIONS have no state code.
 SEED_NATIONS = 23
-NATIONS_MAX = 25      # TPC-H nation table size: a fixed, proven bound
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,15 +35,11 @@ def _enriched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey",
                                                 "c_acctbal", "c_mktsegment")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    # Only catalogue entries 0..VIDEO_CATALOGUE-1 can match the derived key,
-    # so the broadcast side is bounded by that range of the primary key.
-    videos = (table(spark, sf_dir, "part")
-              .filter((F.col("p_partkey") >= 0) & (F.col("p_partkey") < VIDEO_CATALOGUE))
-              .select("p_partkey", "p_name"))
-    cust = c.join(bounded_broadcast(n, NATIONS_MAX), c.c_nationkey == n.n_nationkey, "left")
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    videos = (p.agg(F.max("p_partkey")).first()[0] or 0) + 1   # one number: the key range
+    cust = c.join(n, c.c_nationkey == n.n_nationkey, "left")
     return (e.join(cust, e.user_id == cust.c_custkey, "left")
-             .join(bounded_broadcast(videos, VIDEO_CATALOGUE),
-                   (e.event_id % VIDEO_CATALOGUE) == videos.p_partkey, "left"))
+             .join(p, (e.event_id % videos) == p.p_partkey, "left"))
 
 
 def _when_not(cond: Column, value: Column) -> Column:
@@ -74,7 +68,8 @@ def _common(x: DataFrame) -> list[Column]:
         F.col("c_mktsegment").alias("firstName"),
         F.lit(None).cast("string").alias("dateOfBirth"),
         F.when(F.col("c_custkey") % 2 == 0, F.lit("F")).otherwise(F.lit("M")).alias("gender"),
-        F.lit(None).cast("bigint").alias("registration"),
+        # Changes inside a level run, and is missing now and then.
+        F.when(F.col("event_id") % 5 != 0, F.lit(1_500_000_000_000) + F.col("event_id") % 3).alias("registration"),
     ]
 
 
@@ -122,12 +117,18 @@ def raw_feed(spark: SparkSession, sf_dir: str, feed: str, enriched: DataFrame |
     raise KeyError(feed)
 
 
+ODD_NATION = 7   # its code has a trailing space, as one code of a real seed has
+
+
 def state_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Seed table: stateCode = nation name, for nations below SEED_NATIONS."""
-    n = table(spark, sf_dir, "nation")
-    return (n.filter(F.col("n_nationkey") < SEED_NATIONS)
-             .select(F.col("n_name").alias("stateCode"),
-                     F.concat(F.lit("State "), F.col("n_name")).alias("stateName")))
+    """Seed: stateCode = nation name, for nations below SEED_NATIONS; written as a
+    CSV and read as a seed is."""
+    n = table(spark, sf_dir, "nation").filter(F.col("n_nationkey") < SEED_NATIONS)
+    code = F.when(F.col("n_nationkey") == ODD_NATION, F.concat("n_name", F.lit(" "))).otherwise(F.col("n_name"))
+    rows = n.select(code.alias("stateCode"), F.concat(F.lit("State "), "n_name").alias("stateName"))
+    path = scratch_path(spark, "seed")
+    rows.write.option("header", True).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return read_seed(spark, path)
 
 
 # Raw catalogue header, as the CSV files spell it (``gross(in $)`` included).
@@ -145,20 +146,26 @@ def raw_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_size").cast("bigint").alias("year"),
         F.col("p_brand").alias("certificate"),
         F.concat(F.col("p_size").cast("string"), F.lit(" min")).alias("runtime"),
-        F.col("p_type").alias("genre"),
+        F.element_at(F.array(*[F.lit(g) for g in GENRES]), (F.col("p_partkey") % len(GENRES)).cast("int") + 1).alias("genre"),
         F.col("p_retailprice").alias("rating"),
         F.col("p_name").alias("description"),
         F.col("p_brand").alias("director"),
         F.replace(F.col("p_brand"), F.lit("Brand#"), F.lit("nm")).alias("director_id"),
         F.col("p_name").alias("star"),
         F.concat(F.lit("st"), F.col("p_size").cast("string")).alias("star_id"),
-        (F.col("p_size").cast("bigint") * F.lit(100)).alias("votes"),
+        F.when(F.col("p_partkey") % 7 != 0, F.concat((F.col("p_size") * 100).cast("string"), F.lit(".0"))).alias("votes"),
         (F.col("p_retailprice") * F.lit(1000.0)).alias("gross(in $)"),
     )
 
 
 def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalogue as consumed by the movie dimension: sanitised names, typed."""
-    from ..functions import sanitize_columns
-    raw = raw_movies(spark, sf_dir)
-    return raw.toDF(*sanitize_columns(raw.columns))
+    return conform_movies(raw_movies(spark, sf_dir))
+
+
+def arriving(feed: DataFrame) -> DataFrame:
+    """A raw feed with the time each row arrived: zero to two hours after its own,
+    by its user and minute. One row in twenty has lost its own time."""
+    late = (F.col("userId") + F.minute("timestamp")) % 60
+    arrival = F.col("timestamp") + F.make_dt_interval(F.lit(0), (late % 3).cast("int"))
+    return feed.withColumn("arrival", arrival).withColumn("timestamp", F.when(late >= 3, F.col("timestamp")))

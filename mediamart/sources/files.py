@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as _dt
+import re
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..functions import null_tokens, safe_double, sanitize_columns
-from ..schemas import MOVIE_COLUMNS, raw_schema
+from ..functions import null_tokens, safe_double, safe_long, sanitize_columns
+from ..schemas import HOUR_FORMAT, LOAD_COL, MOVIE_COLUMNS, raw_schema
 
 # The genre tables of the movie catalogue, and the one table
 # whose physical name differs from its logical name.
@@ -19,9 +20,9 @@ GENRES = ["action", "adventure", "animation", "biography", "crime", "family", "f
 GENRE_ALIASES = {"film_noir": "film-noir"}
 
 
-def genre_registry(root: str, genres: Iterable[str] = GENRES, suffix: str = ".csv") -> dict[str, str]:
-    """Logical genre name -> file path under ``root``."""
-    return {g: f"{root.rstrip('/')}/{GENRE_ALIASES.get(g, g)}{suffix}" for g in genres}
+def genre_registry(root: str, genres: Iterable[str] = GENRES, suffix: str = ".csv", prefix: str = "") -> dict[str, str]:
+    """Logical genre name -> file (or folder of files) under ``root``."""
+    return {g: f"{root.rstrip('/')}/{prefix}{GENRE_ALIASES.get(g, g)}{suffix}" for g in genres}
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -37,21 +38,7 @@ def existing_paths(spark: SparkSession, paths: Iterable[str]) -> list[str]:
     return [p for p in paths if path_exists(spark, p)]
 
 
-def glob_paths(spark: SparkSession, pattern: str) -> set[str]:
-    """Paths matching a glob, from one listing call (qualified, no trailing '/')."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(pattern)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = fs.globStatus(hpath)
-    return {str(st.getPath().toUri().getPath()).rstrip("/") for st in (found or [])}
-
-
-# Up to this many hours, each hour folder is checked on its own; beyond it
-# (a backfill), one glob listing of the feed's hour folders replaces the checks.
-PER_HOUR_CHECKS = 24
-
-
-def read_text_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+def read_text_csv(spark: SparkSession, path: str | list[str], multiline: bool = True) -> DataFrame:
     """CSV with a header row, every column as text, RFC-4180 quoting.
 
     No schema inference pass: columns are typed afterwards with safe casts.
@@ -67,44 +54,48 @@ def conform_movies(df: DataFrame) -> DataFrame:
     """Sanitised, NA-token-cleaned catalogue cast to the consumed types.
 
     Missing-value tokens become null first; then numbers are safe casts (bad
-    text -> null, NaN -> null). Known columns come first in catalogue order,
-    any others follow as text.
+    text -> null, NaN -> null, whole numbers in any spelling). Known columns
+    come first in catalogue order, any others follow as text.
     """
     clean = df.toDF(*sanitize_columns(df.columns))
-    types = dict(MOVIE_COLUMNS)
-    out = []
-    for name in [c for c, _ in MOVIE_COLUMNS if c in clean.columns] + \
-                [c for c in clean.columns if c not in types]:
-        col = null_tokens(F.col(name).cast("string"))
-        t = types.get(name)
-        if t is None or t.simpleString() == "string":
-            out.append(col.alias(name))
-        elif t.simpleString() == "double":
-            out.append(safe_double(col).alias(name))
-        else:
-            out.append(col.try_cast(t).alias(name))
-    return clean.select(*out)
+    casts = {"double": safe_double, "bigint": safe_long}
+    known = [(name, t.simpleString()) for name, t in MOVIE_COLUMNS if name in clean.columns]
+    names = {name for name, _ in known}
+    known += [(name, "string") for name in clean.columns if name not in names]
+    return clean.select(*[casts.get(kind, lambda c: c)(null_tokens(F.col(name).cast("string"))).alias(name)
+                          for name, kind in known])
 
 
 def load_genres(spark: SparkSession, registry: Mapping[str, str], multiline: bool = True,
                 genre_col: str = "source_genre") -> DataFrame:
     """All existing genre files as one catalogue, tagged with their genre.
 
-    Each genre is read on its own (its header may name columns differently,
-    e.g. ``title`` for ``movie_name``) and the reads are combined by name, so
-    the work is one distributed job over every file, not a loop of loads.
+    Files with the same header are one read, whatever their number; headers
+    that differ (``title`` for ``movie_name``) are combined by name. A row's
+    genre is that of the registered path it was read from.
     """
-    frames = []
+    by_header: dict[tuple, list[str]] = {}
     for genre, path in registry.items():
-        if not path_exists(spark, path):
-            continue
-        frames.append(conform_movies(read_text_csv(spark, path, multiline))
-                      .withColumn(genre_col, F.lit(genre)))
-    if not frames:
+        if path_exists(spark, path):
+            by_header.setdefault(tuple(read_text_csv(spark, path, multiline).columns), []).append(genre)
+    if not by_header:
         raise FileNotFoundError("no genre file exists: " + ", ".join(registry.values()))
+    frames = []
+    for genres in by_header.values():
+        raw = read_text_csv(spark, [registry[g] for g in genres], multiline)
+        file = F.col("_metadata.file_path")
+        genre = F.coalesce(*[F.when(F.contains(F.concat(F.url_decode(file), F.lit("/")), F.lit(f"{_path_part(registry[g])}/")), g)
+                             for g in genres])
+        tagged = raw.select(*[F.col(f"`{c}`") for c in raw.columns], genre.alias(genre_col))
+        frames.append(conform_movies(tagged))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def _path_part(path: str) -> str:
+    """The path without scheme, host and doubled slashes."""
+    return re.sub("/+", "/", re.sub("^[a-z0-9]+:(//[^/]*)?", "", path)).rstrip("/")
+
+
 def raw_hour_path(root: str, feed: str, hour: _dt.datetime) -> str:
     """Raw layout of one hour of a feed: unpadded month/day/hour, no year."""
     return f"{root.rstrip('/')}/{feed}/month={hour.month}/day={hour.day}/hour={hour.hour}"
@@ -122,47 +113,44 @@ def hours_between(start: _dt.datetime, end: _dt.datetime) -> list[_dt.datetime]:
 
 def read_hours(spark: SparkSession, root: str, feed: str, start: _dt.datetime,
                end: _dt.datetime) -> DataFrame | None:
-    """Raw rows of a feed with start <= ts < end, from the hour folders only.
-
-    A run of a few hours reads those hour folders by path (the path is the
-    partition pruning). A backfill reads the day folders under the feed root
-    instead: one listing per day (not per hour), then pruning on the
-    month/day/hour partition values of the asked hours. Either way the
-    ``ts`` filter removes rows of other years that share a folder (the
-    layout has no year). Missing folders are skipped.
+    """Raw rows of the hour folders of [start, end), with ``load_hour`` (yyyyMMddHH).
+
+    Any number of hours takes the same way: the day folders that exist (asked of
+    their own file system, so any spelling of ``root`` works), read with the
+    partition values as columns and pruned to the hours. Every row of a folder is
+    kept: late rows, early rows and rows without a time. The layout has no year;
+    a row's folder hour takes, of the years the range holds, the one nearest to the
+    row's time, and a row over half a year from it belongs to another year's
+    run. Rows without a time count for the range's last year. None when no
+    day folder exists.
     """
+    start = start.replace(minute=0, second=0, microsecond=0)
     hours = hours_between(start, end)
     feed_root = f"{root.rstrip('/')}/{feed}"
-    ts = F.col("timestamp")
-    in_range = (ts >= ts_literal(start)) & (ts < ts_literal(end))
-    if len(hours) <= PER_HOUR_CHECKS:
-        paths = existing_paths(spark, [raw_hour_path(root, feed, h) for h in hours])
-        if not paths:
-            return None
-        return spark.read.schema(raw_schema(feed)).parquet(*paths).filter(in_range)
-    found = glob_paths(spark, f"{feed_root}/month=*/day=*")
     days = sorted({(h.month, h.day) for h in hours})
-    paths = [f"{feed_root}/month={m}/day={d}" for m, d in days
-             if _local_part(f"{feed_root}/month={m}/day={d}") in found]
+    paths = existing_paths(spark, [f"{feed_root}/month={m}/day={d}" for m, d in days])
     if not paths:
         return None
     schema = raw_schema(feed)
     for part in ("month", "day", "hour"):
         schema = schema.add(part, T.IntegerType())
-    wanted = sorted({h.month * 10000 + h.day * 100 + h.hour for h in hours})
-    hour_id = F.col("month") * 10000 + F.col("day") * 100 + F.col("hour")
-    df = (spark.read.schema(schema).option("basePath", feed_root).parquet(*paths)
-               .filter(hour_id.isin(wanted) & in_range))
-    return df.select(*raw_schema(feed).fieldNames())
+    rows = spark.read.schema(schema).option("basePath", feed_root).parquet(*paths)
+    at = F.col("timestamp")
+    # The folder's hour in the years of the range; those that exist and are asked for.
+    zero = F.lit(0)
+    hour_in = lambda year: F.try_make_timestamp_ntz(year, F.col("month"), F.col("day"), F.col("hour"), zero, zero)
+    years = F.array(*[F.lit(y) for y in range(start.year, hours[-1].year + 1)])
+    asked = F.filter(F.transform(years, hour_in), lambda h: (h >= ts_literal(start)) & (h < ts_literal(end)))
+    rows = rows.filter(F.size(asked) > 0)   # partition values only: prunes folders
+    far = F.transform(asked, lambda h: F.struct(
+        F.coalesce(F.abs(F.timestamp_diff("HOUR", at, h)), -F.year(h).cast("long")).alias("hours"), h.alias("hour")))
+    near = F.array_min(far)
+    rows = rows.withColumn("_near", near).filter(F.col("_near").isNotNull() & (F.col("_near.hours") <= HALF_YEAR_HOURS))
+    return rows.select(*raw_schema(feed).fieldNames(),
+                       F.date_format("_near.hour", HOUR_FORMAT).cast("bigint").alias(LOAD_COL))
 
 
-def _local_part(path: str) -> str:
-    """Path component of a URI-or-path string, for comparing with listing output."""
-    if "://" in path:
-        path = "/" + path.split("://", 1)[1].split("/", 1)[1]
-    elif path.startswith("file:"):
-        path = path[len("file:"):]
-    return path.rstrip("/")
+HALF_YEAR_HOURS = 183 * 24
 
 
 def ts_literal(t: _dt.datetime):
@@ -170,19 +158,22 @@ def ts_literal(t: _dt.datetime):
     return F.lit(t.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
 
 
-def write_raw_hours(raw: DataFrame, root: str, feed: str, mode: str = "append") -> str:
+def write_raw_hours(raw: DataFrame, root: str, feed: str, mode: str = "append",
+                    arrival: str | None = None) -> str:
     """Lay a raw feed out as hour folders (the layout the hourly loader reads).
 
-    Range-partitioned on the timestamp first, so each task writes a
-    contiguous run of hours (about one file per hour folder).
+    The folder is the hour of ``arrival``, a column that is not written, or of
+    the row's own time. Rebalanced by folder: about one file an hour, and a hot
+    hour is cut into several.
     """
-    ts = F.col("timestamp")
     path = f"{root.rstrip('/')}/{feed}"
-    from .sinks import write_parallelism
-    (raw.repartitionByRange(write_parallelism(raw.sparkSession), ts)
-        .withColumn("month", F.month(ts)).withColumn("day", F.dayofmonth(ts))
-        .withColumn("hour", F.hour(ts))
-        .write.mode(mode).partitionBy("month", "day", "hour").parquet(path))
+    hour = F.col(arrival or "timestamp")
+    placed = (raw.withColumn("month", F.month(hour)).withColumn("day", F.dayofmonth(hour))
+                 .withColumn("hour", F.hour(hour)))
+    if arrival:
+        placed = placed.drop(arrival)
+    (placed.hint("rebalance", F.col("month"), F.col("day"), F.col("hour"))
+           .write.mode(mode).partitionBy("month", "day", "hour").parquet(path))
     return path
 
 

@@ -19,7 +19,7 @@ def by_name(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType,
-                 partition_by: str | None = HOUR_COL) -> bool:
+                 partition_by: str | list[str] | None = HOUR_COL) -> bool:
     """Create an empty table with ``schema`` unless one exists. True if created."""
     if path_exists(spark, path):
         return False
@@ -30,45 +30,35 @@ def ensure_table(spark: SparkSession, path: str, schema: T.StructType,
     return True
 
 
-def write_parallelism(spark: SparkSession, partitions: int | None = None) -> int:
-    """Tasks for a clustered write: the session's shuffle parallelism unless given.
-
-    Given explicitly, so AQE does not coalesce a small range shuffle into one
-    task that then writes every hour folder alone.
-    """
-    return partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def cluster_by_time(df: DataFrame, ts_col: str = "ts", partitions: int | None = None) -> DataFrame:
-    """Range-partition rows on (hour, ts) before an hour-partitioned write.
+def cluster_by_hour(df: DataFrame) -> DataFrame:
+    """Bring the rows of an hour together before an hour-partitioned write.
 
     Rows coming out of a join or aggregation are spread by key, so every task
-    holds every hour and the write makes tasks x hours small files. A range
-    shuffle gives each task a contiguous slice of time instead: about one
-    file per hour, and an hour with a third of all rows is still cut into
-    many tasks by its ``ts`` quantiles, never sent to one.
+    holds every hour and the write makes tasks x hours small files. A rebalance
+    by hour gives each hour to one task, and splits an hour that is too large by
+    its real size: file sizes follow the data, in one pass and without sampling.
     """
-    return df.repartitionByRange(write_parallelism(df.sparkSession, partitions),
-                                 F.col(HOUR_COL), F.col(ts_col))
+    return df.hint("rebalance", F.col(HOUR_COL))
 
 
 def write_hours(df: DataFrame, path: str, mode: str = "append",
-                schema: T.StructType | None = None, cluster: bool = False) -> None:
+                schema: T.StructType | None = None, cluster: bool = False,
+                partition_by: list[str] | None = None) -> None:
     """Write rows into the hour partitions of a table.
 
     ``append`` adds rows (a re-run duplicates its hours); ``overwrite``
-    replaces only the hours present in ``df`` (dynamic partition overwrite),
-    which makes re-running an hour idempotent. Input read from hour folders
-    is already grouped by hour and is written without a shuffle; pass
-    ``cluster=True`` for input that is not (see ``cluster_by_time``).
+    replaces only the partitions present in ``df`` (dynamic partition
+    overwrite), which makes re-running an hour idempotent. Input read from hour
+    folders is already grouped by hour and is written without a shuffle; pass
+    ``cluster=True`` for input that is not (see ``cluster_by_hour``).
     """
     if mode not in ("append", "overwrite"):
         raise ValueError(mode)
     out = by_name(df, schema) if schema is not None else df
     if cluster:
-        out = cluster_by_time(out)
+        out = cluster_by_hour(out)
     (out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-        .partitionBy(HOUR_COL).parquet(path))
+        .partitionBy(*(partition_by or [HOUR_COL])).parquet(path))
 
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> str:

@@ -8,10 +8,12 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.staging import stage
 from ..schemas import HOUR_COL, raw_schema
 
+MAX_FILES_PER_TRIGGER = 10_000
+
 
 def start_feed_ingest(spark: SparkSession, raw_root: str, feed: str, table_path: str,
                       checkpoint: str, available_now: bool = True,
-                      max_files_per_trigger: int | None = None) -> StreamingQuery:
+                      max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER) -> StreamingQuery:
     """Stream new raw files of ``feed`` (hour folders under ``raw_root/feed``)
     through the null-fill into hour partitions of ``table_path``.
 
@@ -19,7 +21,8 @@ def start_feed_ingest(spark: SparkSession, raw_root: str, feed: str, table_path:
     own folder) becomes a file-source stream: the checkpoint remembers which
     files were committed, so every file is staged exactly once, including
     files that land late in a past hour's folder. ``available_now`` processes
-    what is there and stops (a scheduled batch); otherwise it runs on.
+    what is there, in batches of ``max_files_per_trigger`` files, and stops (a
+    scheduled batch); otherwise it runs on.
     Stateless, so no watermark is needed.
     """
     reader = spark.readStream.schema(raw_schema(feed))
@@ -33,11 +36,12 @@ def start_feed_ingest(spark: SparkSession, raw_root: str, feed: str, table_path:
 
 
 def run_feed_ingest(spark: SparkSession, raw_root: str, feed: str, table_path: str,
-                    checkpoint: str, timeout_s: int = 600) -> None:
-    """Run one available-now ingest to completion."""
+                    checkpoint: str, timeout_s: int | None = None) -> None:
+    """Run one available-now ingest to completion (or for ``timeout_s`` at most)."""
     q = start_feed_ingest(spark, raw_root, feed, table_path, checkpoint, available_now=True)
-    finished = q.awaitTermination(timeout_s)
-    if not finished:
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
         q.stop()
         raise TimeoutError(f"ingest of {feed} did not finish in {timeout_s}s")
     if q.exception() is not None:

@@ -61,3 +61,72 @@ def test_hour_folder_without_year_keeps_only_the_asked_year(spark):
 def test_genre_registry_alias():
     reg = files.genre_registry("/data/imdb", ["action", "film_noir"])
     assert reg == {"action": "/data/imdb/action.csv", "film_noir": "/data/imdb/film-noir.csv"}
+
+
+def _arrivals(spark):
+    """Rows of three folders; one is late, one early, one has no time."""
+    raw = raw_rows(spark, "watch_events", [
+        {"timestamp": T("2024-03-01 10:10:00"), "userId": 1}, {"timestamp": T("2024-03-01 09:50:00"), "userId": 2},
+        {"timestamp": None, "userId": 3}, {"timestamp": T("2024-03-01 12:00:00"), "userId": 4},
+        {"timestamp": T("2024-03-02 10:30:00"), "userId": 5}])
+    hours = {1: "2024-03-01 10:00:00", 2: "2024-03-01 10:00:00", 3: "2024-03-01 10:00:00", 4: "2024-03-01 11:00:00",
+             5: "2024-03-02 10:00:00"}
+    at = F.coalesce(*[F.when(F.col("userId") == k, F.lit(v)) for k, v in hours.items()]).cast("timestamp_ntz")
+    return raw.withColumn("arrival", at)
+
+
+def test_every_row_of_a_folder_is_loaded(spark):
+    root = scratch_path(spark, "lossless")
+    files.write_raw_hours(_arrivals(spark), f"{root}/raw", "watch_events", arrival="arrival")
+    users = lambda a, b, at=f"{root}/raw": sorted(
+        (r.userId, r.load_hour) for r in files.read_hours(spark, at, "watch_events", T(a), T(b)).collect())
+    first = [(1, 2024030110), (2, 2024030110), (3, 2024030110)]
+    assert users("2024-03-01 10:00:00", "2024-03-01 11:00:00") == first
+    day, more = ("2024-03-01 10:00:00", "2024-03-02 10:00:00"), ("2024-03-01 10:00:00", "2024-03-02 11:00:00")
+    assert users(*day) == first + [(4, 2024030111)]                                     # 24 hours
+    assert users(*more) == first + [(4, 2024030111), (5, 2024030210)]                   # 25 hours
+    assert users(*more, at=f"{root}//raw/") == users(*more) == users(*more, at=f"file://{root}/raw".replace("file://file:", "file:"))
+    assert files.read_hours(spark, f"{root}/raw", "watch_events", T("2024-04-01 10:00:00"), T("2024-04-01 11:00:00")) is None
+
+
+def test_relative_root(spark, tmp_path, monkeypatch):
+    files.write_raw_hours(_arrivals(spark), f"{tmp_path}/raw", "watch_events", arrival="arrival")
+    start, end = T("2024-03-01 00:00:00"), T("2024-03-03 00:00:00")
+    import os
+    relative = os.path.relpath(f"{tmp_path}/raw", os.getcwd())
+    assert files.read_hours(spark, relative, "watch_events", start, end).count() == 5
+
+
+def test_load_equals_stream_and_late_rows_replace_only_their_load(spark):
+    from mediamart.plans.hourly import load_hours
+    root = scratch_path(spark, "load-stream")
+    files.write_raw_hours(_arrivals(spark), f"{root}/raw", "watch_events", arrival="arrival")
+    start, end = T("2024-03-01 00:00:00"), T("2024-03-03 00:00:00")
+    load_hours(spark, f"{root}/raw", "watch_events", f"{root}/loaded", start, end, "overwrite")
+    run_feed_ingest(spark, f"{root}/raw", "watch_events", f"{root}/streamed", f"{root}/ckpt")
+    key = lambda df: sorted((r.userId, str(r.ts)) for r in df.collect())
+    loaded = key(read_staging(spark, f"{root}/loaded", "watch_events"))
+    streamed = spark.read.schema(staged_schema("watch_events", with_hour=True)).parquet(f"{root}/streamed")
+    assert loaded == key(streamed) and len(loaded) == 5
+    # hour 11 holds a row of hour 12; re-running 10 and 11 changes nothing
+    for h in (10, 11):
+        assert load_hours(spark, f"{root}/raw", "watch_events", f"{root}/loaded", T(f"2024-03-01 {h}:00:00"), mode="overwrite")
+    assert key(read_staging(spark, f"{root}/loaded", "watch_events")) == loaded
+
+
+def test_genres_of_one_header_are_one_read(spark, tmp_path):
+    for name, text in (("action", "movie_id,votes\n1,204835.0\n2,\n"), ("film-noir", "movie_id,votes\n3,7\n4,7.5\n"),
+                       ("war", "movie_id,title,votes\n5,T,8\n")):
+        (tmp_path / f"{name}.csv").write_text(text)
+    df = files.load_genres(spark, files.genre_registry(f"{tmp_path}//", ["action", "film_noir", "war", "crime"]))
+    got = sorted((r.movie_id, r.votes, r.source_genre) for r in df.collect())
+    assert got == [("1", 204835, "action"), ("2", None, "action"), ("3", 7, "film_noir"), ("4", None, "film_noir"), ("5", 8, "war")]
+
+
+def test_no_shared_folder_on_a_cluster_is_an_error(spark, monkeypatch):
+    import pytest
+    from types import SimpleNamespace as N
+    from mediamart import session
+    context = N(master="spark://host:7077", getConf=lambda: N(get=lambda *a: None), getCheckpointDir=lambda: None)
+    with pytest.raises(RuntimeError):
+        session.shared_root(N(sparkContext=context, conf=N(get=lambda *a: None)))

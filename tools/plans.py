@@ -40,14 +40,14 @@ def main():
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     w = spark.read.schema(staged_schema("watch_events", with_hour=True)).parquet(b.paths["watch_events"])
     t = lambda n: b.table(spark, n)
-    bounds = dict(movie_rows=b.rows["dim_movies"], location_rows=b.rows["dim_location"],
-                  datetime_rows=b.rows["dim_datetime"])
+    bounds = dict(movie_rows=t("dim_movies").count(), location_rows=t("dim_location").count(),
+                  datetime_rows=t("dim_datetime").count())
     cases = {
         "SCD2 change runs (user_level_changes)": dims.user_level_changes(w),
         "SCD2 close runs (dim_users)": dims.dim_users(w),
         "fact_streams": facts.fact_streams(w, t("dim_users"), t("dim_movies"), t("dim_location"),
-                                           t("dim_datetime"), **bounds),
-        "top_rated": marts.top_rated(bd.movies(spark, sf).filter("genre = 'ECONOMY'")),
+                                           t("dim_datetime"), hot=t("hot_user_days"), **bounds),
+        "top_rated": marts.top_rated(bd.movies(spark, sf).filter("genre = 'action'")),
         "between_hours": between_hours(w, dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 2, 6)),
     }
     for name, df in cases.items():
