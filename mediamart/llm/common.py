@@ -7,6 +7,7 @@ A-Z lower-cased, which is exactly ``bytes.lower().split()``.
 
 from __future__ import annotations
 
+import gc
 import os
 
 import numpy as np
@@ -36,6 +37,13 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of finished steps now: it
+    does so when their plans are collected as garbage, which may take long."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def shuffle_buckets(spark: SparkSession) -> int:
     """The session's shuffle width: how many parts the input is dealt into."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

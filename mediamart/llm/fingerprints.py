@@ -145,7 +145,7 @@ def following(docs: DataFrame, parts: int) -> DataFrame:
         return pd.Series([[int(p), after[x]] if x in after else [int(p)] for p, x in zip(own(ids_), ids_)])
 
     rows = docs.select("doc_id", "text", F.posexplode(places(F.coalesce("doc_id", F.lit(_LOWEST)))).alias("lead", "part"))
-    return rows.repartition(parts, "part").sortWithinPartitions("part", "lead", F.desc_nulls_last("doc_id"), "text")
+    return rows.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "lead", F.desc_nulls_last("doc_id"), "text")
 
 
 _FINGERPRINTS = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()),
