@@ -63,20 +63,21 @@ def even_sizes(total: int, parts: int) -> list[int]:
     return [total // parts + (i < total % parts) for i in range(parts)]
 
 
-def shuffle_into_shards(docs: DataFrame, shards: int = 16, seed: int = 11) -> DataFrame:
+def shuffle_into_shards(docs: DataFrame, shards: int = 16, seed: int = 11,
+                        identity: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
     """``docs`` with ``shard`` (0 to shards - 1) and ``slot`` (gapless from 0
     within the shard); shard counts differ by one at most.
 
     The same rows and seed give the same result whatever their order and
-    partitions; rows equal in doc_id and text are interchangeable. Nulls are
-    hashed like values, texts are moved whole, columns of the input named
+    partitions; rows equal in the columns of ``identity`` are interchangeable.
+    Nulls are hashed like values, all columns are moved whole, columns of the input named
     ``shard`` or ``slot`` are replaced, and an empty table gives no rows.
     """
     spark = c.prepare(docs.sparkSession)
     buckets = c.shuffle_buckets(spark)
     names = [x for x in docs.columns if x not in ("shard", "slot")]
-    rows = docs.select(F.struct(*names).alias("row"), F.xxhash64("doc_id", "text", F.lit(seed)).alias("first"),
-                       F.xxhash64(F.lit(seed + 1), "text", "doc_id").alias("second"))
+    rows = docs.select(F.struct(*names).alias("row"), F.xxhash64(*identity, F.lit(seed)).alias("first"),
+                       F.xxhash64(F.lit(seed + 1), *identity).alias("second"))
     total = docs.count()
     blocks = max(buckets, -(-total // ROWS_PER_BLOCK))
     group = -(-blocks // min(blocks, MAX_GROUPS))  # blocks a group
