@@ -146,7 +146,7 @@ def _stacked(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def _hourly(mode: str) -> Callable[[SparkSession, str], DataFrame]:
-    """A backfill of all feeds; overwriting, also again and hour by hour."""
+    """A backfill of all feeds; overwriting, then some hours again one by one."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         root = scratch_path(spark, f"hourly-{mode}")
         start, end = _raw_hours(spark, sf_dir, root)
@@ -154,7 +154,6 @@ def _hourly(mode: str) -> Callable[[SparkSession, str], DataFrame]:
         for feed, path in tables.items():
             load_hours(spark, f"{root}/raw", feed, path, start, end, mode)
         if mode == "overwrite":
-            load_hours(spark, f"{root}/raw", "watch_events", tables["watch_events"], start, end, mode)
             for h in range(6):
                 load_hours(spark, f"{root}/raw", "watch_events", tables["watch_events"], start + dt.timedelta(hours=h), mode=mode)
         return _stacked({feed: read_staging(spark, path, feed) for feed, path in tables.items()})
