@@ -22,13 +22,14 @@ def load_hours(spark: SparkSession, raw_root: str, feed: str, table_path: str,
     under a transient name ``{feed}_{MMddHH}``; null-fill; write by name into
     the hour partitions (``append`` or idempotent ``overwrite``); drop the
     transient name. Every row of the folders is loaded. The table is partitioned
-    by the hour it was loaded from and the hour of its time, so re-running an hour
-    with a late row replaces that hour's load only. Returns False when no
+    by the hour it was loaded from (the hour of a row's time is a column, whose
+    statistics prune), so re-running an hour with a late row replaces exactly
+    that hour's load. Returns False when no
     folder exists.
     """
     end = end or start + _dt.timedelta(hours=1)
     schema = staged_schema(feed, with_hour=True, with_load=True)
-    ensure_table(spark, table_path, schema, [LOAD_COL, HOUR_COL])
+    ensure_table(spark, table_path, schema, LOAD_COL)
     raw = read_hours(spark, raw_root, feed, start, end)
     if raw is None:
         return False
@@ -36,7 +37,7 @@ def load_hours(spark: SparkSession, raw_root: str, feed: str, table_path: str,
     raw.createOrReplaceTempView(view)
     try:
         write_hours(stage(spark.table(view), feed, with_hour=True, keep=[LOAD_COL]), table_path, mode, schema,
-                    partition_by=[LOAD_COL, HOUR_COL])
+                    partition_by=[LOAD_COL])
     finally:
         spark.catalog.dropTempView(view)
     return True

@@ -163,8 +163,7 @@ def write_raw_hours(raw: DataFrame, root: str, feed: str, mode: str = "append",
     """Lay a raw feed out as hour folders (the layout the hourly loader reads).
 
     The folder is the hour of ``arrival``, a column that is not written, or of
-    the row's own time. Rebalanced by folder: about one file an hour, and a hot
-    hour is cut into several.
+    the row's own time. Dealt by folder: one file an hour, hours in parallel.
     """
     path = f"{root.rstrip('/')}/{feed}"
     hour = F.col(arrival or "timestamp")
@@ -172,7 +171,8 @@ def write_raw_hours(raw: DataFrame, root: str, feed: str, mode: str = "append",
                  .withColumn("hour", F.hour(hour)))
     if arrival:
         placed = placed.drop(arrival)
-    (placed.hint("rebalance", F.col("month"), F.col("day"), F.col("hour"))
+    tasks = int(raw.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (placed.repartition(tasks, "month", "day", "hour")
            .write.mode(mode).partitionBy("month", "day", "hour").parquet(path))
     return path
 
