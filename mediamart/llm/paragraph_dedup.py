@@ -10,10 +10,20 @@ stays; the others are removals.
 Bands are tuned for recall: 16 bands of 4 rows miss a pair at similarity 0.8 with
 probability (1 - 0.8**4)**16 = 2e-4, at 0.9 with 1e-7. Class ids are 64-bit hashes;
 that two of n different paragraphs share one has probability n**2 / 2**65.
+
+A passage is PASSAGE_WORDS consecutive words anywhere in a text, lines or not. A
+text's passages are chosen by content: of every SHARED_WORDS - PASSAGE_WORDS + 1
+consecutive ones the one with the smallest hash. So two texts that share a run of
+SHARED_WORDS words share a chosen passage, wherever the run lies in them. Passages
+are compared by equality: one changed word inside costs five of their 16 shingles,
+so at 0.8 only an outermost word could differ. Parts of a changed run are found where
+they reach SHARED_WORDS between changes, shorter ones by chance.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -23,6 +33,7 @@ from mediamart.llm import common as c
 from mediamart.session import materialize
 
 MIN_WORDS = 10
+PASSAGE_WORDS, SHARED_WORDS = 20, 50
 BANDS, ROWS = 16, 4
 _SEEN = 1 << 17
 _PARAGRAPHS = pa.schema([("doc_id", pa.int64()), ("paragraph", pa.int32()), ("n_words", pa.int32()),
@@ -168,8 +179,79 @@ def repeated_paragraphs(docs: DataFrame, percent: int = 80, min_words: int = MIN
     return out.withColumn("removed", (F.col("doc_id") != F.col("first_doc_id")) | (F.col("paragraph") != F.col("first_paragraph")))
 
 
+_PASSAGES = pa.schema([("doc_id", pa.int64()), ("word", pa.int32()), ("node", pa.int64())])
+
+
+def _sliding(x: np.ndarray, span: int, low) -> np.ndarray:
+    """``low`` (minimum or maximum) of every ``span`` consecutive values."""
+    width = 1
+    while 2 * width <= span:
+        x, width = low(x[:-width], x[width:]), 2 * width
+    rest = span - width
+    return low(x[:len(x) - rest], x[rest:]) if rest else x
+
+
+def passages_of(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
+    """(first words, ids) of the passages of a text that its content chooses."""
+    words = c.words_of(text)
+    if len(words) < PASSAGE_WORDS:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    ids = c.shingle_hashes(c.word_hashes(words), PASSAGE_WORDS)
+    order = c.mix(ids ^ np.uint64(0x5851F42D4C957F2D))  # another hash than the id, whose bits stay even
+    span = min(SHARED_WORDS - PASSAGE_WORDS + 1, len(ids))
+    lows = _sliding(order, span, np.minimum)
+    edge = np.zeros(span - 1, np.uint64)
+    at = np.flatnonzero(_sliding(np.r_[edge, lows, edge], span, np.maximum) == order)
+    return at, ids[at].view(np.int64)
+
+
+def _passages(docs: DataFrame) -> DataFrame:
+    def run(batches):
+        for batch in batches:
+            for part in c.sliced([batch]):
+                found = [passages_of(t) for t in c.texts_of(part)]
+                each = [len(at) for at, _ in found]
+                if sum(each):
+                    ids = np.repeat(part.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64), each)
+                    at, node = (np.concatenate(x) for x in zip(*found))
+                    yield c.record(_PASSAGES, [ids, at.astype(np.int32), node])
+
+    return c.map_arrow(docs.select("doc_id", "text"), run, "doc_id long, word int, node long")
+
+
+def _repeated_passages(docs: DataFrame) -> DataFrame:
+    places = materialize(_passages(docs.where("doc_id is not null")), "passages")
+    repeated = (places.groupBy("node").agg(F.count("*").alias("n_copies"), F.min(F.struct("doc_id", "word")).alias("first"))
+                .where("n_copies > 1"))
+    return places.join(repeated, "node").select(
+        "doc_id", "word", "node", F.col("first.doc_id").alias("first_doc_id"), F.col("first.word").alias("first_word"), "n_copies",
+        ((F.col("doc_id") != F.col("first.doc_id")) | (F.col("word") != F.col("first.word"))).alias("removed"))
+
+
+def repeated_passages(docs: DataFrame) -> DataFrame:
+    """Every chosen passage that another place has too, wherever it lies in its line
+    or over lines: the columns of ``repeated_paragraphs``, where paragraph is the
+    number of its first word in the text (from 0).
+
+    Every run of SHARED_WORDS words or more that two places share holds such a
+    passage. Null texts, null doc_ids, repeated doc_ids and empty tables are taken
+    as in ``repeated_paragraphs``.
+    """
+    return _repeated_passages(docs).select(
+        "doc_id", F.col("word").alias("paragraph"), F.lit(PASSAGE_WORDS).alias("n_words"), "first_doc_id",
+        F.col("first_word").alias("first_paragraph"), "n_copies", "removed")
+
+
+def repeated_units(docs: DataFrame, percent: int = 80, min_words: int = MIN_WORDS) -> DataFrame:
+    """The repeated paragraphs (``unit`` is line) and the repeated passages of the
+    whole texts (``unit`` is passage)."""
+    lines = repeated_paragraphs(docs, percent, min_words).withColumn("unit", F.lit("line"))
+    return lines.unionByName(repeated_passages(docs).withColumn("unit", F.lit("passage")))
+
+
 def drop_repeated_paragraphs(docs: DataFrame, percent: int = 80, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with the removed paragraphs cut out of ``text``; columns unchanged."""
+    """``docs`` with the removed paragraphs cut out of ``text``; columns unchanged.
+    Passages stay; ``drop_repeated_units`` cuts them too."""
     cut = (repeated_paragraphs(docs, percent, min_words).where("removed")
            .groupBy(F.col("doc_id").alias("cut_id")).agg(F.collect_set("paragraph").alias("cut")))
     rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text").join(cut, F.col("doc_id") == F.col("cut_id"), "left")
@@ -177,3 +259,55 @@ def drop_repeated_paragraphs(docs: DataFrame, percent: int = 80, min_words: int
     kept = F.concat_ws("\n", F.filter(lines, lambda _, i: ~F.array_contains("cut", i)))
     clean = F.when(F.col("cut").isNull(), F.col("text")).otherwise(kept)
     return rows.select(*[clean.alias("text") if x == "text" else F.col("row")[x].alias(x) for x in docs.columns])
+
+
+_WORD = re.compile(rb"[^ \t-\r]+")
+
+
+def _without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
+    """The text without the words of the spans (first, end) and the blanks after them."""
+    words = [m.span() for m in _WORD.finditer(text)]
+    out, at = [], 0
+    for first, end in spans:
+        stop = words[end - 1][1]
+        while text[stop:stop + 1] in (b" ", b"\t"):
+            stop += 1
+        out.append(text[at:words[first][0]])
+        at = stop
+    return b"".join([*out, text[at:]])
+
+
+def cut_passages(text: bytes, marked: list[tuple[int, int, bool]]) -> bytes:
+    """The text without its removed passages (word, node, removed); the words of
+    those that stay are kept, also where a removed one overlaps them."""
+    words = c.words_of(text)
+    ids = c.shingle_hashes(c.word_hashes(words), PASSAGE_WORDS).view(np.int64) if len(words) >= PASSAGE_WORDS else []
+    cut = np.zeros(len(words) + 1, bool)
+    for goes in (True, False):
+        for word, node, removed in marked:
+            if removed == goes and word < len(ids) and ids[word] == node:
+                cut[word:word + PASSAGE_WORDS] = goes
+    edges = np.flatnonzero(np.diff(np.r_[False, cut].astype(np.int8)))
+    return _without(text, [tuple(x) for x in edges.reshape(-1, 2).tolist()])
+
+
+def drop_repeated_units(docs: DataFrame, percent: int = 80, min_words: int = MIN_WORDS) -> DataFrame:
+    """``docs`` with the removed paragraphs, then the removed passages of what is
+    left, cut out of ``text``; columns unchanged."""
+    docs = materialize(drop_repeated_paragraphs(docs, percent, min_words), "without_lines")
+    marked = (_repeated_passages(docs).groupBy(F.col("doc_id").alias("cut_id"))
+              .agg(F.collect_set(F.struct("word", "node", "removed")).alias("marked")))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text").join(marked, F.col("doc_id") == F.col("cut_id"), "left")
+
+    def run(batches):
+        for batch in batches:
+            texts = []
+            for text, places in zip(c.texts_of(batch), batch.column("marked").to_pylist()):
+                places = [(p["word"], p["node"], p["removed"]) for p in places or []]
+                texts.append((cut_passages(text, places) if places and text else text))
+            row = batch.column("row")
+            columns = {f.name: row.field(i) for i, f in enumerate(row.type)}
+            columns["text"] = pa.array([t if t is None else t.decode() for t in texts], pa.string())
+            yield pa.record_batch(list(columns.values()), names=list(columns))
+
+    return c.map_arrow(rows.select("row", "text", "marked"), run, docs.schema)

@@ -36,7 +36,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paragraph_dedup.repeated_paragraphs(table(spark, sf_dir, "documents"))
+    return paragraph_dedup.repeated_units(table(spark, sf_dir, "documents"))
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

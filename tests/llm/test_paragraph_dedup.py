@@ -84,3 +84,38 @@ def test_cutting_and_bounds(documents):
     assert pd_.repeated_paragraphs(documents([]).limit(0)).collect() == []
     with pytest.raises(ValueError):
         pd_.repeated_paragraphs(df, min_words=4)
+
+
+def test_passages_inside_lines_and_in_one_line_documents(documents):
+    from mediamart.llm.queries import op6_paragraph_dedup
+    rng = random.Random(3)
+    line = lambda n: " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(n))
+    rows, shared = [], []
+    for k in range(60):
+        run = line(50)
+        a, b = (line(rng.randrange(3, 300)) for _ in range(2))
+        wrapped = "\n".join(" ".join(run.split()[i:i + 7]) for i in range(0, 50, 7))
+        first, second = [(f"{a} {run} {b}", f"{line(200)} {run.upper()}"),
+                         (f"short\n{a} {run} {b}\nend", f"{run} {line(90)}"), (f"{a} {run}", f"{b}\n{wrapped}\n{a[:9]}")][k % 3]
+        rows += [(2 * k, first), (2 * k + 1, second)]
+        shared.append(run)
+    df = documents([(i, t, "en", "s") for i, t in rows] + [(None, rows[0][1], "en", "s"), (900, None, "en", "s"), (901, line(400), "en", "s")])
+    got = pd_.repeated_units(df).collect()
+    texts = {i: t.lower().split() for i, t in rows}
+    for r in got:
+        if r.unit == "passage":
+            assert texts[r.doc_id][r.paragraph:r.paragraph + r.n_words] == texts[r.first_doc_id][r.first_paragraph:r.first_paragraph + r.n_words]
+    assert {(r.doc_id, r.first_doc_id) for r in got if r.removed and r.unit == "passage"} == {(2 * k + 1, 2 * k) for k in range(60)}
+    clean = {r.doc_id: r.text for r in pd_.drop_repeated_units(df).collect() if r.doc_id is not None}
+    assert all(clean[2 * k] == rows[2 * k][1] and len(clean[2 * k + 1].split()) <= len(texts[2 * k + 1]) - 20 for k in range(60))
+    assert clean[900] is None and len(clean[901].split()) == 400
+    assert pd_.repeated_units(documents([]).limit(0)).collect() == []
+    assert "repeated_units" in op6_paragraph_dedup.__code__.co_names
+
+
+def test_overlapping_passages_keep_what_stays():
+    text = ("a b c d e f g " * 40).encode()
+    at, ids = pd_.passages_of(text)
+    marked = [(int(w), int(n), w != at[0]) for w, n in zip(at, ids)]
+    kept = pd_.cut_passages(text, marked).split()
+    assert kept[int(at[0]):int(at[0]) + pd_.PASSAGE_WORDS] == text.split()[int(at[0]):int(at[0]) + pd_.PASSAGE_WORDS]
