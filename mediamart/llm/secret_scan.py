@@ -3,7 +3,8 @@
 Text that a byte-pair vocabulary has seen packs many characters into a token;
 random strings do not. A run of key-like characters is reported when it has few
 characters per token under a tiktoken vocabulary, unless it has the shape of a
-known digest or identifier.
+known digest, UUID or number. Runs of letter parts, which names of things are too, are
+judged by their letters alone under a stricter limit.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 KINDS = ("assign", "access", "hex", "token")
 MIN_LENGTH = 16
 CHARS_PER_TOKEN = 2.2
+WORD_CHARS_PER_TOKEN = 2.05
 _CACHE = 1 << 16
 
 # The base patterns and their least lengths.
@@ -40,9 +42,13 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_LENGTH)
 KNOWN = re.compile(
     r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})\Z"
     r"|[0-9a-f]{8}-(?:[0-9a-f]{4}-){3}[0-9a-f]{12}\Z"
-    r"|[0-9/_=+-]+\Z"
-    r"|[A-Za-z]+[0-9]{0,4}\Z"
-    r"|(?:[A-Za-z]+[0-9]{0,4}[/_=+-]+)+(?:[A-Za-z]+[0-9]{0,4}|[0-9]+)?\Z", re.I | re.A)
+    r"|[0-9/_=+-]+\Z", re.I | re.A)
+# Letter parts with a few digits at their ends, or no digit at all: words or not.
+PARTS = re.compile(
+    r"[A-Za-z]+[0-9]{0,4}\Z"
+    r"|(?:[A-Za-z]+[0-9]{0,4}[/_=+-]+)+(?:[A-Za-z]+[0-9]{0,4}|[0-9]+)?\Z"
+    r"|[^0-9]+\Z", re.A)
+PART = re.compile(r"[A-Za-z]{4,}")  # shorter ones tell nothing: any is a token or two
 
 
 class TokenEfficiency:
@@ -84,6 +90,16 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def is_random(run: str, packed: TokenEfficiency, below: float) -> bool:
+    """Whether the characters per token are too few: of the whole run, or, where it
+    may be a name made of words, of its letter parts."""
+    if not PARTS.match(run):
+        return packed(run) < below
+    parts = PART.findall(run)
+    tokens = sum(len(x) / packed(x) for x in parts)
+    return sum(map(len, parts)) < min(below, WORD_CHARS_PER_TOKEN) * tokens
+
+
 def token_spans(text: str, packed: TokenEfficiency, base: list[tuple[int, int, int]],
                 below: float = CHARS_PER_TOKEN) -> list[tuple[int, int, int]]:
     """Spans of key-like runs whose characters per token lie under ``below``
@@ -93,7 +109,7 @@ def token_spans(text: str, packed: TokenEfficiency, base: list[tuple[int, int, i
         run = m[0]
         if any(start <= m.start() and m.end() <= end for start, _, end in base):
             continue
-        if not KNOWN.match(run) and any("0" <= x <= "9" for x in run) and packed(run) < below:
+        if not KNOWN.match(run) and is_random(run, packed, below):
             found.append((m.start(), 3, m.end()))
     return found
 

@@ -59,3 +59,20 @@ def test_masking_and_empty_table(documents):
     got = [r.text for r in ss.mask_secrets(documents(["a token=abcdefgh b", None, "plain"])).orderBy("doc_id").collect()]
     assert got == ["a <secret> b", None, "plain"]
     assert ss.scan_secrets(documents([]).limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("length", [16, 20, 24, 40])
+def test_letters_only_and_short_random_keys_are_found(length):
+    rng = random.Random(length)
+    packed = ss.efficiency(ss.TOKENIZER)
+    lower, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    for alphabet in (lower, lower.upper(), lower + lower.upper(), lower + lower.upper() + digits, lower + lower.upper() + digits + "+/"):
+        keys = ["".join(rng.choice(alphabet) for _ in range(length)) for _ in range(500)]
+        assert sum(bool(ss.token_spans(k, packed, [])) for k in keys) >= 480
+
+
+@pytest.mark.parametrize("name", [
+    "Donaudampfschifffahrtsgesellschaft", "getElementsByClassName", "SPARK_EXECUTOR_MEMORY_OVERHEAD", "my_config_file_v2_backup",
+    "/usr/local/lib/python3/site-packages", "Geschwindigkeitsbegrenzung", "--------------------", "/a/b/c/d/e/f/g/h/i"])
+def test_names_made_of_words_are_no_secrets(name):
+    assert ss.token_spans(f"see {name} here", ss.efficiency(ss.TOKENIZER), []) == []
