@@ -57,3 +57,18 @@ def test_copies_spread_nulls_and_clashing_names(documents, spark):
     assert len(slots) == 1
     assert sh.shuffle_into_shards(documents([]).limit(0)).collect() == []
     assert [(r.shard, r.slot) for r in sh.shuffle_into_shards(documents(["x"])).collect()] == [(0, 0)]
+
+
+def test_query_shards_the_whole_documents(spark, monkeypatch):
+    from mediamart.llm import queries
+    seen, real = [], queries.sharding.shuffle_into_shards
+
+    def record(docs, **more):
+        seen.append((docs.columns, more))
+        return real(docs, **more)
+    monkeypatch.setattr(queries.sharding, "shuffle_into_shards", record)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    got = queries.op3_sharding(spark, "/root/testdata/sf0.001").collect()
+    assert seen == [(docs.columns, {"shards": 16})]
+    want = {r.doc_id: (r.shard, r.slot) for r in real(docs, shards=16).collect()}
+    assert {r.doc_id: (r.shard, r.slot) for r in got} == want
