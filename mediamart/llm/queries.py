@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mediamart.llm import (decontaminate, fingerprints, language_id, mixing, near_dup, paragraph_dedup, secret_scan,
+from mediamart.llm import (decontaminate, fingerprints, language_id, mixing, near_dup, paragraph_dedup, repetition, secret_scan,
                            sharding, suffix_dedup, toxicity)
 from mediamart.llm.common import table
 
@@ -53,9 +53,37 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """The contract's edit: in documents whose h = crc32(decimal doc_id) is a
+    multiple of 10, the words from the a-th on go on with a period of p words."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    n, g = F.size(words), F.floor(h / 10)
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    times = F.ceil((n - a) / p).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice(words, a + 1, p), times)), F.lit(1), n - a)
+    edited = F.array_join(F.concat(F.slice(words, F.lit(1), a), tail), " ")
+    return docs.select("doc_id", F.when((h % 10 == 0) & F.coalesce(n > 0, F.lit(False)), edited)
+                       .otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repetition.find_runs(with_repeats(table(spark, sf_dir, "documents")))
+    top = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.withColumn("top", top).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("top.start")).alias("start"), "top.length",
+        (-F.col("top.period")).alias("period"),
+        F.floor(1000 * F.col("top.length") / -F.col("top.period")).cast("long").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("text", 256).alias("collapsed_sha256"), "n_words")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_near_duplicates, op2_suffix_dedup, op3_sharding, op4_secret_scan, op5_toxicity, op6_paragraph_dedup,
-    op7_language_id, op8_decontamination, op9_mixing, op10_fingerprints)}
+    op7_language_id, op8_decontamination, op9_mixing, op10_fingerprints, op11_periodic_runs)}
 
 # The draw of operator 9, told in SQL. The shuffled order has no place in a bag of rows.
 MIXING_SQL = """

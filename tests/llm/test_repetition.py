@@ -1,0 +1,121 @@
+"""Periodic runs against a brute force over all periods."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from mediamart.llm import queries, repetition
+from mediamart.llm.suffix_tree import Extension, SuffixTree, periodic_runs
+
+
+def every_run(t, least):
+    """All periods tried one by one; of one stretch the smallest is kept."""
+    out, seen = [], set()
+    for q in range(1, len(t) // 2 + 1):
+        i = 0
+        while i + q < len(t):
+            j = i
+            while j + q < len(t) and t[j] == t[j + q]:
+                j += 1
+            if j > i and j - i + q >= max(least, 2 * q) and (i, j + q) not in seen:
+                seen.add((i, j + q))
+                out.append((i, j - i + q, q))
+            i = max(j, i + 1)
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def random_words(rng):
+    words = [rng.choice("abc"[:rng.choice([1, 2, 3])]) for _ in range(rng.randrange(70))]
+    if rng.random() < 0.5 and words:  # a tail with a period
+        a = rng.randrange(len(words))
+        p = 1 + (len(words) - a) // rng.randrange(2, 7)
+        words = words[:a] + [words[a + (i - a) % p] for i in range(a, len(words))]
+    if rng.random() < 0.5:  # far between: words of no run
+        words = [x for w in words for x in ([w] if rng.random() < 0.97 else [w, f"u{rng.random()}"])]
+    return words
+
+
+def expected(doc_id, text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    n = len(words)
+    if doc_id is not None:
+        h = zlib.crc32(str(doc_id).encode())
+        g = h // 10
+        if h % 10 == 0 and n:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    runs = every_run(words, 12)
+    dropped = {i for s, length, q in runs for i in range(s + q, s + length)}
+    top = min(runs, key=lambda r: (-r[1], r[0], r[2])) if runs else (None,) * 3
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    return (doc_id, len(runs), *top, runs and 1000 * top[1] // top[2] or None,
+            sha("".join(f"{a},{b},{q}\n" for a, b, q in runs)),
+            sha(" ".join(w for i, w in enumerate(words) if i not in dropped)))
+
+
+def test_runs_of_sequences():
+    rng = random.Random(3)
+    for _ in range(400):
+        t = [rng.randrange(1, rng.choice([2, 3, 5])) for _ in range(rng.randrange(50))]
+        for least in (2, 5, 12):
+            assert [tuple(r) for r in periodic_runs(t, least).tolist()] == every_run(t, least)
+
+
+def test_extension_is_the_common_prefix():
+    rng = random.Random(4)
+    t = [rng.randrange(1, 3) for _ in range(200)]
+    i, j = np.array([(i, j) for i in range(200) for j in range(200) if i != j]).T
+    got = Extension(SuffixTree(t))(i, j)
+    for a, b, x in zip(i.tolist()[::37], j.tolist()[::37], got.tolist()[::37]):
+        k = 0
+        while max(a, b) + k < 200 and t[a + k] == t[b + k]:
+            k += 1
+        assert x == k
+
+
+def test_runs_of_documents_lose_nothing():
+    rng = random.Random(5)
+    for _ in range(400):
+        words = [w.encode() for w in random_words(rng)]
+        for least in (3, 12):
+            assert [tuple(r) for r in repetition.document_runs(words, least).tolist()] == every_run(words, least)
+
+
+def test_long_document():
+    rng = random.Random(6)
+    line = [b"w%d" % rng.randrange(3000) for _ in range(5000)]
+    words = line + [b"x"] + line * 6 + [b"y"] * 40000
+    assert repetition.document_runs(words).tolist() == [[5001, 30000, 5000], [35001, 40000, 1]]
+
+
+@pytest.fixture(scope="module")
+def cases():
+    rng = random.Random(7)
+    rows = [(i, " ".join(random_words(rng))) for i in range(150)]
+    rows += [(1000 + i, "\n ".join(f"w{rng.randrange(50)}" for _ in range(rng.randrange(80)))) for i in range(100)]
+    rows += [(5, rows[3][1]), (3, rows[3][1]), (None, "a b " * 9), (900, None), (901, ""), (902, " \t\x0b\x0c\r\n "),
+             (903, "ö ü " * 20), (904, "a\x1cb a\x1cb " * 9)]
+    rows += [(i, t) for i in range(2000, 2040) for t in (None, "", "one", "one two")]  # edits of tiny texts
+    return rows
+
+
+def test_query_against_brute_force(spark, tmp_path, cases):
+    docs = spark.createDataFrame(cases, "doc_id long, text string")
+    for name in ("runs", "start", "top", "n_words", "lang"):  # clashing names
+        docs = docs.selectExpr("*", f"'x' AS {name}")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op11_periodic_runs(spark, str(tmp_path)).drop("n_words").collect()
+    assert sorted(map(tuple, got), key=str) == sorted((expected(*r) for r in cases), key=str)
+    assert sum(r.n_runs > 0 for r in got) > 50
+
+
+def test_collapsed_text_and_empty_table(spark):
+    docs = spark.createDataFrame([(1, "so it goes " * 5 + "on")], "doc_id long, text string")
+    row = repetition.find_runs(docs).first()
+    assert row.text == "so it goes on" and [tuple(r) for r in row.runs] == [(0, 15, 3)] and row.n_words == 16
+    assert repetition.find_runs(docs.limit(0)).count() == 0
