@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mediamart.llm import (decontaminate, fingerprints, language_id, mixing, near_dup, paragraph_dedup, repetition, secret_scan,
-                           sharding, suffix_dedup, toxicity)
+from mediamart.llm import (decontaminate, fingerprints, language_id, license_scan, mixing, near_dup, paragraph_dedup,
+                           repetition, secret_scan, sharding, suffix_dedup, toxicity)
 from mediamart.llm.common import table
 
 
@@ -81,9 +81,21 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed, 256).alias("runs_sha256"), F.sha2("text", 256).alias("collapsed_sha256"), "n_words")
 
 
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+    base = F.transform(F.filter("matches", lambda m: m["kind"] == "base"), lambda m: m["word"])
+    labels = license_scan.labels_of
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(base).alias("first_word"),
+        F.array_max(base).alias("last_word"), F.array_join(labels("matches", "base"), ",").alias("base_labels"),
+        F.array_join(labels("matches"), ",").alias("labels"), "score", "duty",
+        F.transform("expressions", lambda e: e["postfix"]).alias("expressions"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_near_duplicates, op2_suffix_dedup, op3_sharding, op4_secret_scan, op5_toxicity, op6_paragraph_dedup,
-    op7_language_id, op8_decontamination, op9_mixing, op10_fingerprints, op11_periodic_runs)}
+    op7_language_id, op8_decontamination, op9_mixing, op10_fingerprints, op11_periodic_runs,
+    op12_license_scan)}
 
 # The draw of operator 9, told in SQL. The shuffled order has no place in a bag of rows.
 MIXING_SQL = """
