@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mediamart.llm import (decontaminate, fingerprints, language_id, license_scan, mixing, near_dup, paragraph_dedup,
-                           repetition, secret_scan, sharding, suffix_dedup, toxicity)
+                           repetition, secret_scan, sharding, spelling, suffix_dedup, toxicity)
 from mediamart.llm.common import table
 
 
@@ -92,10 +92,14 @@ def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.transform("expressions", lambda e: e["postfix"]).alias("expressions"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_spellings(table(spark, sf_dir, "documents"), drop_every=31)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_near_duplicates, op2_suffix_dedup, op3_sharding, op4_secret_scan, op5_toxicity, op6_paragraph_dedup,
     op7_language_id, op8_decontamination, op9_mixing, op10_fingerprints, op11_periodic_runs,
-    op12_license_scan)}
+    op12_license_scan, op13_spelling_variants)}
 
 # The draw of operator 9, told in SQL. The shuffled order has no place in a bag of rows.
 MIXING_SQL = """
