@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import hour_of, sanitize_columns
 from ..operators import audit, dims, facts, marts, staging
 from ..operators.joins import interval_join
-from ..schemas import FEED_NAMES, HOUR_COL, staged_schema
+from ..schemas import FEED_NAMES, HOUR_COL
 from ..session import materialize, scratch_path
 from ..sources import bindings as bd
 from ..sources import files
@@ -130,13 +131,23 @@ def csv_to_parquet_by_genre(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _loaded_catalogue(spark, sf_dir)
 
 
-def _raw_hours(spark: SparkSession, sf_dir: str, root: str):
-    """All four feeds laid out by arrival; the range of hours they arrived in."""
-    for feed, raw in bd.raw_feeds(spark, sf_dir).items():
-        files.write_raw_hours(bd.arriving(raw), f"{root}/raw", feed, arrival="arrival")
+def _each(work: Callable[[str], None], names=FEED_NAMES) -> None:
+    """Independent jobs, submitted together."""
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        list(pool.map(work, names))
+
+
+def _raw_years(spark: SparkSession, sf_dir: str, root: str):
+    """For each of two years: all feeds' arrivals of the year are laid out as hour
+    folders, next to those of the year before; yields the range they arrived in."""
+    feeds = {feed: bd.arriving(raw) for feed, raw in bd.raw_feeds(spark, sf_dir).items()}
     # Two numbers: the time range to load.
     lo, hi = bd.table(spark, sf_dir, "events").agg(F.min("ts"), F.max("ts")).first()
-    return lo.replace(minute=0, second=0, microsecond=0), hi.replace(minute=0, second=0, microsecond=0) + dt.timedelta(hours=3)
+    for year in (0, 1):
+        span = [t.replace(year=t.year + year, minute=0, second=0, microsecond=0) for t in (lo, hi)]
+        of_year = F.year("arrival") == span[0].year
+        _each(lambda feed: files.write_raw_hours(feeds[feed].where(of_year), f"{root}/raw", feed, arrival="arrival"))
+        yield span[0], span[1] + dt.timedelta(hours=3)
 
 
 def _stacked(tables: dict[str, DataFrame]) -> DataFrame:
@@ -146,30 +157,34 @@ def _stacked(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def _hourly(mode: str) -> Callable[[SparkSession, str], DataFrame]:
-    """A backfill of all feeds; overwriting, then some hours again one by one."""
+    """A backfill of all feeds year by year, the folders of both years being the
+    same. ``append``: then both years once more, for files nobody has loaded.
+    ``overwrite``: then some hours of the first year again, one by one."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         root = scratch_path(spark, f"hourly-{mode}")
-        start, end = _raw_hours(spark, sf_dir, root)
         tables = {feed: f"{root}/staging/{feed}" for feed in FEED_NAMES}
-        for feed, path in tables.items():
-            load_hours(spark, f"{root}/raw", feed, path, start, end, mode)
-        if mode == "overwrite":
-            for h in range(6):
-                load_hours(spark, f"{root}/raw", "watch_events", tables["watch_events"], start + dt.timedelta(hours=h), mode=mode)
+        load = lambda feed, *a: load_hours(spark, f"{root}/raw", feed, tables[feed], *a)
+        spans = []
+        for start, end in _raw_years(spark, sf_dir, root):
+            spans.append((start, end))
+            _each(lambda feed: load(feed, start, end, mode))
+        if mode == "append":
+            load("watch_events", spans[0][0], spans[1][1], "once")
+        else:
+            for h in range(3):
+                load("watch_events", spans[0][0] + dt.timedelta(hours=h), None, mode)
         return _stacked({feed: read_staging(spark, path, feed) for feed, path in tables.items()})
     run.__name__ = f"hourly_{mode}"
     return run
 
 
 def stream_hourly_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same feeds by streams, one run a year; each goes on where it stopped."""
     root = scratch_path(spark, "stream")
-    _raw_hours(spark, sf_dir, root)
-    tables = {}
-    for feed in FEED_NAMES:
-        path = f"{root}/staging/{feed}"
-        run_feed_ingest(spark, f"{root}/raw", feed, path, f"{root}/checkpoint/{feed}")
-        tables[feed] = spark.read.schema(staged_schema(feed, with_hour=True)).parquet(path)
-    return _stacked(tables)
+    tables = {feed: f"{root}/staging/{feed}" for feed in FEED_NAMES}
+    for _, end in _raw_years(spark, sf_dir, root):
+        _each(lambda feed: run_feed_ingest(spark, f"{root}/raw", feed, tables[feed], f"{root}/checkpoint/{feed}", as_of=end))
+    return _stacked({feed: read_staging(spark, path, feed) for feed, path in tables.items()})
 
 
 GENRE = "action"   # the catalogue table the top-rated report reads

@@ -11,8 +11,8 @@ oracle repeats the same derivation (``mediamart/plans/oracle_sql.py``):
   out on purpose so that some event states have no code (D13 in SURVEY).
 * movie catalogue: one movie per part; the sixteen genres take turns by part key, and
   vote counts are spelled ``100.0`` with gaps, as a column of integers with gaps is.
-* hourly folders: an event arrives zero to two hours after its time, and now and
-  then without one.
+* hourly folders: events of two years; one arrives zero to two hours after its
+  time, and now and then without a time or with a wild one.
 """
 
 from __future__ import annotations
@@ -164,8 +164,14 @@ def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def arriving(feed: DataFrame) -> DataFrame:
-    """A raw feed with the time each row arrived: zero to two hours after its own,
-    by its user and minute. One row in twenty has lost its own time."""
+    """A raw feed over two years with the time each row arrived: zero to two hours
+    after its own, by its user and minute. On the first three days of a month users
+    with odd ids come a year later. Of sixty rows one has lost its time, one has the
+    time of a clock never set, and one is 400 days behind."""
     late = (F.col("userId") + F.minute("timestamp")) % 60
-    arrival = F.col("timestamp") + F.make_dt_interval(F.lit(0), (late % 3).cast("int"))
-    return feed.withColumn("arrival", arrival).withColumn("timestamp", F.when(late >= 3, F.col("timestamp")))
+    year_later = F.when(F.dayofmonth("timestamp") <= 3, F.col("userId") % 2).otherwise(0).cast("int")
+    own = F.col("timestamp") + F.make_ym_interval(year_later, F.lit(0))
+    wild = (F.when(late == 0, F.lit(None)).when(late == 1, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+             .when(late == 2, own - F.make_dt_interval(F.lit(400))).otherwise(own))
+    return (feed.withColumn("arrival", own + F.make_dt_interval(F.lit(0), (late % 3).cast("int")))
+                .withColumn("timestamp", wild.cast("timestamp_ntz")))

@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import null_tokens, safe_double, safe_long, sanitize_columns
-from ..schemas import HOUR_FORMAT, LOAD_COL, MOVIE_COLUMNS, raw_schema
+from ..schemas import MOVIE_COLUMNS, raw_schema
 
 # The genre tables of the movie catalogue, and the one table
 # whose physical name differs from its logical name.
@@ -33,6 +33,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder on its own file system. False when it is not there."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True))
+
+
 def existing_paths(spark: SparkSession, paths: Iterable[str]) -> list[str]:
     """The paths that exist; a missing source is skipped, the others go on."""
     return [p for p in paths if path_exists(spark, p)]
@@ -111,46 +117,20 @@ def hours_between(start: _dt.datetime, end: _dt.datetime) -> list[_dt.datetime]:
     return out
 
 
-def read_hours(spark: SparkSession, root: str, feed: str, start: _dt.datetime,
-               end: _dt.datetime) -> DataFrame | None:
-    """Raw rows of the hour folders of [start, end), with ``load_hour`` (yyyyMMddHH).
+def day_folders(spark: SparkSession, root: str, feed: str, days: Iterable[tuple[int, int]]) -> list[str]:
+    """The existing day folders of a feed, asked of their own file system, so that
+    any spelling of ``root`` works."""
+    return existing_paths(spark, [f"{root.rstrip('/')}/{feed}/month={m}/day={d}" for m, d in sorted(set(days))])
 
-    Any number of hours takes the same way: the day folders that exist (asked of
-    their own file system, so any spelling of ``root`` works), read with the
-    partition values as columns and pruned to the hours. Every row of a folder is
-    kept: late rows, early rows and rows without a time. The layout has no year;
-    a row's folder hour takes, of the years the range holds, the one nearest to the
-    row's time, and a row over half a year from it belongs to another year's
-    run. Rows without a time count for the range's last year. None when no
-    day folder exists.
-    """
-    start = start.replace(minute=0, second=0, microsecond=0)
-    hours = hours_between(start, end)
-    feed_root = f"{root.rstrip('/')}/{feed}"
-    days = sorted({(h.month, h.day) for h in hours})
-    paths = existing_paths(spark, [f"{feed_root}/month={m}/day={d}" for m, d in days])
-    if not paths:
-        return None
+
+def read_folders(spark: SparkSession, root: str, feed: str, paths: list[str]) -> DataFrame:
+    """Raw rows of folders of a feed, with month, day and hour of the folder and the
+    name of the file as ``_name``. Every row is kept, whatever its time."""
     schema = raw_schema(feed)
     for part in ("month", "day", "hour"):
         schema = schema.add(part, T.IntegerType())
-    rows = spark.read.schema(schema).option("basePath", feed_root).parquet(*paths)
-    at = F.col("timestamp")
-    # The folder's hour in the years of the range; those that exist and are asked for.
-    zero = F.lit(0)
-    hour_in = lambda year: F.try_make_timestamp_ntz(year, F.col("month"), F.col("day"), F.col("hour"), zero, zero)
-    years = F.array(*[F.lit(y) for y in range(start.year, hours[-1].year + 1)])
-    asked = F.filter(F.transform(years, hour_in), lambda h: (h >= ts_literal(start)) & (h < ts_literal(end)))
-    rows = rows.filter(F.size(asked) > 0)   # partition values only: prunes folders
-    far = F.transform(asked, lambda h: F.struct(
-        F.coalesce(F.abs(F.timestamp_diff("HOUR", at, h)), -F.year(h).cast("long")).alias("hours"), h.alias("hour")))
-    near = F.array_min(far)
-    rows = rows.withColumn("_near", near).filter(F.col("_near").isNotNull() & (F.col("_near.hours") <= HALF_YEAR_HOURS))
-    return rows.select(*raw_schema(feed).fieldNames(),
-                       F.date_format("_near.hour", HOUR_FORMAT).cast("bigint").alias(LOAD_COL))
-
-
-HALF_YEAR_HOURS = 183 * 24
+    rows = spark.read.schema(schema).option("basePath", f"{root.rstrip('/')}/{feed}").parquet(*paths)
+    return rows.withColumn("_name", F.col("_metadata.file_name"))
 
 
 def ts_literal(t: _dt.datetime):

@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from conftest import T, raw_rows
 from mediamart.operators.staging import stage
-from mediamart.plans.hourly import read_staging
+from mediamart.plans.hourly import load_hours, read_staging
 from mediamart.schemas import FEEDS, staged_schema
 from mediamart.session import scratch_path
 from mediamart.sources import files
@@ -43,21 +43,6 @@ def test_stream_stages_each_file_once_including_late_ones(spark):
         [f.name for f in FEEDS["watch_events"]]
 
 
-def test_hour_folder_without_year_keeps_only_the_asked_year(spark):
-    """The raw layout has no year: 2024 and 2025 rows of one hour share a folder."""
-    root = scratch_path(spark, "no-year")
-    raw = raw_rows(spark, "watch_events", [{"timestamp": T("2024-05-21 17:10:00"), "userId": 1},
-                                           {"timestamp": T("2025-05-21 17:20:00"), "userId": 2}])
-    files.write_raw_hours(raw, f"{root}/raw", "watch_events")
-    one = files.read_hours(spark, f"{root}/raw", "watch_events", T("2024-05-21 17:00:00"),
-                           T("2024-05-21 18:00:00"))
-    assert [r.userId for r in one.collect()] == [1]
-    # a backfill (day-folder read) applies the same bound
-    many = files.read_hours(spark, f"{root}/raw", "watch_events", T("2024-05-20 00:00:00"),
-                            T("2024-05-23 00:00:00"))
-    assert [r.userId for r in many.collect()] == [1]
-
-
 def test_genre_registry_alias():
     reg = files.genre_registry("/data/imdb", ["action", "film_noir"])
     assert reg == {"action": "/data/imdb/action.csv", "film_noir": "/data/imdb/film-noir.csv"}
@@ -75,39 +60,47 @@ def _arrivals(spark):
     return raw.withColumn("arrival", at)
 
 
+def _loaded(spark, path):
+    return sorted((r.userId, r.load_hour) for r in read_staging(spark, path, "watch_events").collect())
+
+
 def test_every_row_of_a_folder_is_loaded(spark):
     root = scratch_path(spark, "lossless")
     files.write_raw_hours(_arrivals(spark), f"{root}/raw", "watch_events", arrival="arrival")
-    users = lambda a, b, at=f"{root}/raw": sorted(
-        (r.userId, r.load_hour) for r in files.read_hours(spark, at, "watch_events", T(a), T(b)).collect())
+
+    def users(a, b, name, at=f"{root}/raw"):
+        load_hours(spark, at, "watch_events", f"{root}/{name}", T(a), T(b))
+        return _loaded(spark, f"{root}/{name}")
     first = [(1, 2024030110), (2, 2024030110), (3, 2024030110)]
-    assert users("2024-03-01 10:00:00", "2024-03-01 11:00:00") == first
+    assert users("2024-03-01 10:00:00", "2024-03-01 11:00:00", "hour") == first
     day, more = ("2024-03-01 10:00:00", "2024-03-02 10:00:00"), ("2024-03-01 10:00:00", "2024-03-02 11:00:00")
-    assert users(*day) == first + [(4, 2024030111)]                                     # 24 hours
-    assert users(*more) == first + [(4, 2024030111), (5, 2024030210)]                   # 25 hours
-    assert users(*more, at=f"{root}//raw/") == users(*more) == users(*more, at=f"file://{root}/raw".replace("file://file:", "file:"))
-    assert files.read_hours(spark, f"{root}/raw", "watch_events", T("2024-04-01 10:00:00"), T("2024-04-01 11:00:00")) is None
+    assert users(*day, "day") == first + [(4, 2024030111)]                                     # 24 hours
+    want = first + [(4, 2024030111), (5, 2024030210)]
+    assert users(*more, "more") == want                                                        # 25 hours
+    assert users(*more, "slashes", at=f"{root}//raw/") == want
+    assert users(*more, "scheme", at=f"file://{root}/raw".replace("file://file:", "file:")) == want
+    assert not load_hours(spark, f"{root}/raw", "watch_events", f"{root}/none", T("2024-04-01 10:00:00"))
 
 
 def test_relative_root(spark, tmp_path, monkeypatch):
     files.write_raw_hours(_arrivals(spark), f"{tmp_path}/raw", "watch_events", arrival="arrival")
-    start, end = T("2024-03-01 00:00:00"), T("2024-03-03 00:00:00")
     import os
     relative = os.path.relpath(f"{tmp_path}/raw", os.getcwd())
-    assert files.read_hours(spark, relative, "watch_events", start, end).count() == 5
+    load_hours(spark, relative, "watch_events", f"{tmp_path}/out", T("2024-03-01 00:00:00"), T("2024-03-03 00:00:00"))
+    assert len(_loaded(spark, f"{tmp_path}/out")) == 5
 
 
 def test_load_equals_stream_and_late_rows_replace_only_their_load(spark):
-    from mediamart.plans.hourly import load_hours
     root = scratch_path(spark, "load-stream")
     files.write_raw_hours(_arrivals(spark), f"{root}/raw", "watch_events", arrival="arrival")
     start, end = T("2024-03-01 00:00:00"), T("2024-03-03 00:00:00")
     load_hours(spark, f"{root}/raw", "watch_events", f"{root}/loaded", start, end, "overwrite")
-    run_feed_ingest(spark, f"{root}/raw", "watch_events", f"{root}/streamed", f"{root}/ckpt")
+    run_feed_ingest(spark, f"{root}/raw", "watch_events", f"{root}/streamed", f"{root}/ckpt", as_of=end)
     key = lambda df: sorted((r.userId, str(r.ts)) for r in df.collect())
     loaded = key(read_staging(spark, f"{root}/loaded", "watch_events"))
-    streamed = spark.read.schema(staged_schema("watch_events", with_hour=True)).parquet(f"{root}/streamed")
+    streamed = read_staging(spark, f"{root}/streamed", "watch_events")
     assert loaded == key(streamed) and len(loaded) == 5
+    assert _loaded(spark, f"{root}/loaded") == _loaded(spark, f"{root}/streamed")          # load hours too
     # hour 11 holds a row of hour 12; re-running 10 and 11 changes nothing
     for h in (10, 11):
         assert load_hours(spark, f"{root}/raw", "watch_events", f"{root}/loaded", T(f"2024-03-01 {h}:00:00"), mode="overwrite")
