@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import surrogate_key, sunday_week
 from .joins import bounded_broadcast
-from .scd2 import OPEN_END, change_runs, close_runs, run_starts
+from .scd2 import CUT_ROWS, OPEN_END, change_runs, close_runs, run_starts, timeline_cuts
 
 # The time spine of the date dimension and the days counted as
 # weekend (EXTRACT(DAYOFWEEK) numbering, 1 = Sunday ... 7 = Saturday).
@@ -109,24 +109,35 @@ def dim_movies(movies: DataFrame) -> DataFrame:
     return typed.unionByName(unknown).select(surrogate_key("movieId").alias("movieKey"), "*")
 
 
-def user_level_changes(watch: DataFrame, bucket: str = "hour") -> DataFrame:
-    """Distinct user states (users other than 0) with change flag and run id."""
-    known = watch.filter(F.col("userId") != 0).withColumnRenamed("ts", "date")
-    return change_runs(known, USER_KEYS, order="date", value="level",
-                       carry=["registration"], bucket=bucket)
+def _known_users(watch: DataFrame) -> DataFrame:
+    return watch.filter(F.col("userId") != 0).withColumnRenamed("ts", "date")
 
 
-def user_level_runs(watch: DataFrame, bucket: str = "hour") -> DataFrame:
+def user_cuts(watch: DataFrame, bucket: str = "hour", cut_rows: int = CUT_ROWS) -> DataFrame:
+    """Where crowded hours of one user are cut for the windows over user levels."""
+    return timeline_cuts(_known_users(watch), USER_KEYS, "date", "level", ["registration"], bucket, cut_rows)
+
+
+def user_level_changes(watch: DataFrame, bucket: str = "hour", cuts: DataFrame | None = None) -> DataFrame:
+    """Distinct user states (users other than 0) with change flag and run id.
+    ``cuts`` is the written ``user_cuts`` of the feed."""
+    return change_runs(_known_users(watch), USER_KEYS, order="date", value="level",
+                       carry=["registration"], bucket=bucket, cuts=cuts)
+
+
+def user_level_runs(watch: DataFrame, bucket: str = "hour", cuts: DataFrame | None = None) -> DataFrame:
     """One row per level run with its first day (``minDate``)."""
-    return run_starts(user_level_changes(watch, bucket), USER_KEYS, order="date", value="level",
+    return run_starts(user_level_changes(watch, bucket, cuts), USER_KEYS, order="date", value="level",
                       carry=["registration"])
 
 
-def dim_users(watch: DataFrame, unknown_ids: Sequence[int] = (0, 1), bucket: str = "hour") -> DataFrame:
+def dim_users(watch: DataFrame, unknown_ids: Sequence[int] = (0, 1), bucket: str = "hour",
+              cuts: DataFrame | None = None) -> DataFrame:
     """Users with level history as SCD2 rows, plus one open row per level of
     each unknown user id. ``unknown_ids`` defaults to (0, 1) as in the
-    reference, so user 1 is in both branches (D9 in SURVEY)."""
-    runs = close_runs(user_level_runs(watch, bucket), USER_KEYS, ties=["registration"])
+    reference, so user 1 is in both branches (D9 in SURVEY). ``cuts`` is the
+    written ``user_cuts`` of the feed."""
+    runs = close_runs(user_level_runs(watch, bucket, cuts), USER_KEYS, ties=["registration"])
     tracked = runs.select(
         F.col("userId").cast("bigint").alias("userId"), "firstName", "lastName", "gender",
         "dateOfBirth", "level", F.col("registration").cast("bigint").alias("registration"),

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import clean_title, day_of, hour_key, hour_of
 from ..schemas import HOUR_COL
+from .dims import USER_KEYS
+from .scd2 import OPEN_END
 from .joins import HOT_KEY_ROWS, bounded_broadcast, hot_keys, interval_join
 
 
@@ -18,6 +20,14 @@ def hot_user_days(watch: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     return hot_keys(_days(watch), ["userId", "_day"], hot_rows)
 
 
+def join_user_asof(days: DataFrame, dim_users: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """Rows with userId and ``_day`` and the userKey of that day. The closed rows of one
+    user state (USER_KEYS) follow each other, so they are swept as one chain."""
+    u = dim_users.select(*USER_KEYS, "userKey", "rowActivationDate", "rowExpirationDate")
+    return interval_join(days, u, ["userId"], "_day", "rowActivationDate", "rowExpirationDate", take=["userKey"],
+                         how="left", hot=hot, chain=USER_KEYS[1:], open_end=OPEN_END)
+
+
 def fact_streams(watch: DataFrame, dim_users: DataFrame, dim_movies: DataFrame,
                  dim_location: DataFrame, dim_datetime: DataFrame,
                  movie_rows: int | None = None, location_rows: int | None = None,
@@ -40,9 +50,7 @@ def fact_streams(watch: DataFrame, dim_users: DataFrame, dim_movies: DataFrame,
     w = _days(watch).select("ts", "userId", "video", "city", "state", "lat", "lon",
                      "_day", hour_of("ts").alias("_hour"),
                      clean_title("video").alias("_title"))
-    u = dim_users.select("userId", "userKey", "rowActivationDate", "rowExpirationDate")
-    x = interval_join(w, u, ["userId"], "_day", "rowActivationDate", "rowExpirationDate",
-                      take=["userKey"], how="left", hot=hot)
+    x = join_user_asof(w, dim_users, hot)
 
     m = dim_movies.select(F.col("movieName").alias("_title"), F.col("movieKey").alias("videoKey"))
     x = x.join(bounded_broadcast(m, movie_rows), "_title", "left")

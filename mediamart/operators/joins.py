@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 # A dimension is broadcast on purpose only where its rows, at the width of its
 # schema, fit into this. Above it the planner's own size check (and AQE's
@@ -73,7 +73,7 @@ def hot_key_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str
 
 def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str], point: str,
                   start: str, end: str, take: Sequence[str], how: str = "left",
-                  hot: DataFrame | None = None) -> DataFrame:
+                  hot: DataFrame | None = None, chain: Sequence[str] | None = None, open_end=None) -> DataFrame:
     """As-of join: ``left`` rows to ``right`` rows of the same keys whose
     half-open interval [start, end) holds ``left[point]``.
 
@@ -83,20 +83,64 @@ def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str], point:
 
     1. ``pairs`` = distinct (keys, point) of the left side (partial aggregation
        first, so the shuffle is small even for a hot key);
-    2. pairs x right on keys with the range residual -> (keys, point, take...);
-       empty intervals are dropped first, they can never match;
+    2. pairs to right rows -> (keys, point, take...); empty intervals are dropped
+       first, they can never match;
     3. left x that mapping on the equi-key (keys, point), salted for the pairs in
        ``hot`` (a written ``hot_keys(left, keys + [point])``): the mapping
        side is not a bare shuffle, so AQE's skew split would not apply.
 
+    With ``chain`` the caller vouches that closed intervals of the same keys and
+    chain columns never overlap (the history of one entity). Step 2 is then a sweep
+    (``sweep_join``) that reads points and intervals once each; only rows that stay
+    open to ``open_end`` or beyond meet the pairs by their start. Without it every
+    pair is held against every interval of its keys.
+
     Nothing runs while the plan is built and nothing stays cached.
     """
+    keys = list(keys)
     pairs = left.select(*keys, point).distinct()
-    r = (right.filter(F.col(end) > F.col(start))
-              .select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)],
-                      F.col(start).alias("_start"), F.col(end).alias("_end"),
-                      *[F.col(t) for t in take]))
-    cond = [F.col(k) == F.col(f"_r{i}") for i, k in enumerate(keys)]
-    cond += [F.col(point) >= F.col("_start"), F.col(point) < F.col("_end")]
-    mapping = pairs.join(r, cond, "inner").select(*keys, point, *take)
-    return hot_key_join(left, mapping, list(keys) + [point], how, hot)
+    r = right.filter(F.col(end) > F.col(start))
+    held = [(r, [F.col(point) >= F.col("_start"), F.col(point) < F.col("_end")])]
+    mapping = None
+    if chain is not None:
+        mapping = sweep_join(pairs, r.filter(F.col(end) < F.lit(open_end)), keys, point, start, end, take, chain)
+        held = [(r.filter(F.col(end) >= F.lit(open_end)), held[0][1])]
+    for rows, cond in held:
+        side = rows.select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)],
+                           F.col(start).alias("_start"), F.col(end).alias("_end"), *[F.col(t) for t in take])
+        equal = [F.col(k) == F.col(f"_r{i}") for i, k in enumerate(keys)]
+        found = pairs.join(side, equal + cond, "inner").select(*keys, point, *take)
+        mapping = found if mapping is None else mapping.unionByName(found)
+    return hot_key_join(left, mapping, keys + [point], how, hot)
+
+
+def sweep_join(pairs: DataFrame, intervals: DataFrame, keys: Sequence[str], point: str, start: str, end: str,
+               take: Sequence[str], chain: Sequence[str], bucket: str = "year") -> DataFrame:
+    """(keys, point, take...) of the intervals [start, end) that hold the distinct
+    ``pairs`` (keys, point), where intervals of one chain never overlap.
+
+    Points and interval starts of a chain are one ordered stream, in which a point
+    takes the last start at or before it, if that interval has not ended. The
+    stream is cut into time buckets: the last start of a bucket is carried into the
+    later ones over one summary row each. A point is read once per chain of its
+    keys and an interval once; none is held against all of the others. Null keys
+    and null points match nothing.
+    """
+    keys = list(keys)
+    group = [*keys, "_chain"]
+    s = intervals.select(*keys, F.struct(*chain).alias("_chain"), F.col(start).alias("_at"),
+                         F.struct(F.col(end).alias("_end"), *take).alias("_open"))
+    p = pairs.join(s.select(*group).distinct(), keys).withColumnRenamed(point, "_at").where("_at IS NOT NULL")
+    stream = (s.withColumn("_point", F.lit(0)).unionByName(p.withColumn("_point", F.lit(1)), allowMissingColumns=True)
+               .withColumn("_bucket", F.date_trunc(bucket, F.col("_at"))).repartition(*keys, "_chain", "_bucket"))
+    so_far = Window.partitionBy(*group, "_bucket").orderBy("_at", "_point").rowsBetween(Window.unboundedPreceding, 0)
+    stream = stream.withColumn("_here", F.last("_open", ignorenulls=True).over(so_far))
+    latest = F.max(F.when(F.col("_point") == 0, F.struct("_at", "_open")))
+    before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (stream.groupBy(*group, "_bucket").agg(latest.alias("_latest"))
+                     .withColumn("_before", F.last("_latest", ignorenulls=True).over(before))
+                     .select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(group)], F.col("_bucket").alias("_rb"), "_before"))
+    same = [F.col(k).eqNullSafe(F.col(f"_r{i}")) for i, k in enumerate(group)] + [F.col("_bucket") == F.col("_rb")]
+    found = (stream.where("_point = 1").join(carried, same)
+                   .withColumn("_found", F.coalesce("_here", F.col("_before._open"))).where("_at < _found._end"))
+    return found.select(*keys, F.col("_at").alias(point), *[F.col(f"_found.{t}").alias(t) for t in take])

@@ -6,11 +6,14 @@ A window puts every row of an entity into one task; if one entity holds a
 third of all rows, that task holds a third of the data. Here the same values
 are computed with the entity's timeline cut into time buckets:
 
-* per (entity, bucket): local ``LAG`` and running sum of local changes;
-* per entity, over bucket summaries (one row per non-empty bucket, so at
-  most span / bucket-width rows whatever the data volume): the level that
-  closed the previous bucket, and the number of changes before the bucket;
-* run id = changes before the bucket + change at the bucket head + local
+* a bucket with many rows of one entity is cut further, at sampled places of its
+  order, so that no (entity, bucket, cut) holds much more than CUT_ROWS rows;
+* per (entity, bucket, cut): local ``LAG`` and running sum of local changes;
+* carries over two levels, from summaries of one row each: over the cuts of a
+  bucket (at most rows / CUT_ROWS), then over the buckets of an entity (at most
+  span / bucket width): the value that closed the one before, and the number of
+  changes before it;
+* run id = changes before the bucket and the cut + changes at their heads + local
   running sum.
 
 Runs then come from a grouped ``MIN`` (partial aggregation absorbs hot keys)
@@ -32,9 +35,51 @@ OPEN_END = _dt.date(9999, 12, 31)
 NULL_BUCKET = _dt.datetime(1, 1, 1)
 
 
+# About as many rows of one entity and bucket go into a window partition at most;
+# a cut is placed after every CUT_SAMPLES sampled rows.
+CUT_ROWS = 500_000
+CUT_SAMPLES = 32
+
+
+def _placed(df: DataFrame, keys: Sequence[str], order: str, bucket: str) -> DataFrame:
+    """``df`` with its entity as one struct ``_k`` (never null, and its null fields
+    compare equal, like a window's partition) and its time bucket ``_bucket``."""
+    return (df.withColumn("_k", F.struct(*keys))
+              .withColumn("_bucket", F.coalesce(F.date_trunc(bucket, F.col(order)), F.lit(NULL_BUCKET))))
+
+
+def timeline_cuts(df: DataFrame, keys: Sequence[str], order: str, value: str, carry: Sequence[str] = (),
+                  bucket: str = "hour", cut_rows: int = CUT_ROWS, samples: int = CUT_SAMPLES) -> DataFrame:
+    """(_k, _bucket, _bounds) of the buckets that hold more than about ``cut_rows``
+    distinct rows of an entity: the places (order, value, carry...) to cut them at.
+
+    Rows are sampled by a hash of their content, about ``samples`` for ``cut_rows``
+    distinct ones whatever their number, and every ``samples``-th is a bound; so a
+    cut holds ``cut_rows`` on average, and a moment with many rows is cut too.
+    Write the table before giving it to ``change_runs``.
+    """
+    place = [order, value, *carry]
+    every = max(1, cut_rows // samples)
+    x = _placed(df.select(*keys, *place), keys, order, bucket)
+    kept = x.where(F.pmod(F.xxhash64("_k", *place), F.lit(every)) == 0).select("_k", "_bucket", F.struct(*place).alias("_at")).distinct()
+    listed = kept.groupBy("_k", "_bucket").agg(F.sort_array(F.collect_list("_at")).alias("_at"))
+    bounds = F.filter("_at", lambda _, i: (i > 0) & (i % samples == 0))
+    return listed.where(F.size("_at") > samples).select("_k", "_bucket", bounds.alias("_bounds"))
+
+
+def _carry(chunks: DataFrame, within: Sequence[str], by: str, default: str | None) -> DataFrame:
+    """``chunks`` (_first and _last value, _n changes inside) with the change at their
+    heads and the changes before them, within a group ordered by ``by``."""
+    w = Window.partitionBy(*within).orderBy(by)
+    head = F.when(F.lag("_last", 1, default).over(w) != F.col("_first"), 1).otherwise(0)
+    before = F.sum(F.col("_n") + F.col("_head")).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    return (chunks.withColumn("_head", head).withColumn("_before", F.coalesce(before, F.lit(0)))
+                  .withColumn("_lead", F.row_number().over(w) == 1))
+
+
 def change_runs(df: DataFrame, keys: Sequence[str], order: str, value: str,
                 carry: Sequence[str] = (), bucket: str = "hour", default: str = "NA",
-                flag_col: str = "lagged", run_col: str = "grouped") -> DataFrame:
+                flag_col: str = "lagged", run_col: str = "grouped", cuts: DataFrame | None = None) -> DataFrame:
     """Distinct (keys, carry, value, order) rows with change flag and run id.
 
     Equal to
@@ -43,23 +88,28 @@ def change_runs(df: DataFrame, keys: Sequence[str], order: str, value: str,
     carry...``. Rows that differ in carried columns only have the same level, so at
     most the first of them is a change and they share a run id.
 
-    The entity is carried as one struct column ``_k``: never null, and its
-    null fields compare equal, like a window's partition. Hashing on
-    (``_k``, bucket) once serves the distinct, the local windows, the bucket
-    summary and the join back, so the feed is shuffled exactly once.
+    ``cuts`` is the written ``timeline_cuts`` of the same rows and bucket; without
+    it a bucket is one window partition.
+
+    Rows are made distinct in each task before any is shuffled, and that shuffle is
+    by whole rows, so a hot entity is spread. Hashing the distinct rows on
+    (``_k``, bucket, cut) once then serves the local windows, the cut summary and
+    the join back.
     """
     keys, carry = list(keys), list(carry)
     cols = keys + carry + [value, order]
-    k, b = "_k", "_bucket"
-    x = (df.select(*cols)
-           .withColumn(k, F.struct(*keys))
-           .withColumn(b, F.coalesce(F.date_trunc(bucket, F.col(order)), F.lit(NULL_BUCKET)))
-           .repartition(k, b)
-           # grouping by the (derived) key and bucket too keeps the distinct
-           # on the partitioning above (no second exchange)
-           .dropDuplicates(cols + [k, b]))
-
-    w = Window.partitionBy(k, b).orderBy(order, value, *carry)
+    k, b, cut = "_k", "_bucket", "_cut"
+    # The entity stays in the struct only, so that the windows and the summary need the
+    # same columns and share one exchange.
+    x = _placed(df.select(*cols).distinct(), keys, order, bucket).select(k, b, *carry, value, order)
+    if cuts is None:
+        x = x.withColumn(cut, F.lit(0))
+    else:
+        at = F.struct(order, value, *carry)
+        x = (x.join(cuts, [k, b], "left")
+              .withColumn(cut, F.coalesce(F.size(F.filter("_bounds", lambda bound: bound <= at)), F.lit(0))).drop("_bounds"))
+
+    w = Window.partitionBy(k, b, cut).orderBy(order, value, *carry)
     x = (x.withColumn("_rn", F.row_number().over(w))
           .withColumn("_prev", F.lag(value, 1).over(w))
           .withColumn("_chg", F.when((F.col("_rn") > 1) & (F.col("_prev") != F.col(value)), 1)
@@ -67,24 +117,25 @@ def change_runs(df: DataFrame, keys: Sequence[str], order: str, value: str,
           .withColumn("_cum", F.sum("_chg").over(w)))
 
     order_value = F.struct(F.col(order), F.col(value))
-    summary = x.groupBy(k, b).agg(
+    summary = x.groupBy(k, b, cut).agg(
         F.min_by(value, order_value).alias("_first"),
         F.max_by(value, order_value).alias("_last"),
         F.sum("_chg").alias("_n"))
-    wb = Window.partitionBy(k).orderBy(b)
-    summary = (summary
-               .withColumn("_head", F.when(F.lag("_last", 1, default).over(wb) != F.col("_first"), 1)
-                                     .otherwise(0))
-               .withColumn("_before", F.coalesce(
-                   F.sum(F.col("_n") + F.col("_head")).over(wb.rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)))
-               .select(F.col(k).alias("_sk"), F.col(b).alias("_sb"), "_head", "_before"))
-
-    j = x.join(summary, (F.col(k) == F.col("_sk")) & (F.col(b) == F.col("_sb")), "inner")
+    pieces = _carry(summary, [k, b], cut, None)
+    whole = pieces.groupBy(k, b).agg(F.min_by("_first", cut).alias("_first"), F.max_by("_last", cut).alias("_last"),
+                                     F.sum(F.col("_n") + F.col("_head")).alias("_n"))
+    whole = _carry(whole, [k], b, default).select(F.col(k).alias("_wk"), F.col(b).alias("_wb"),
+                                                  F.col("_head").alias("_whole_head"), F.col("_before").alias("_whole_before"))
+    heads = (pieces.join(whole, (F.col(k) == F.col("_wk")) & (F.col(b) == F.col("_wb")))
+                   .select(F.col(k).alias("_sk"), F.col(b).alias("_sb"), F.col(cut).alias("_sc"),
+                           F.when(F.col("_lead"), F.col("_whole_head")).otherwise(F.col("_head")).alias("_at_head"),
+                           (F.col("_whole_before") + F.col("_whole_head") + F.col("_before") + F.col("_head")).alias("_base")))
+
+    j = x.join(heads, (F.col(k) == F.col("_sk")) & (F.col(b) == F.col("_sb")) & (F.col(cut) == F.col("_sc")), "inner")
     return j.select(
-        *cols,
-        (F.col("_chg") + F.when(F.col("_rn") == 1, F.col("_head")).otherwise(0)).cast("int").alias(flag_col),
-        (F.col("_before") + F.col("_head") + F.col("_cum")).cast("bigint").alias(run_col),
+        *[F.col(k)[name].alias(name) for name in keys], *carry, value, order,
+        (F.col("_chg") + F.when(F.col("_rn") == 1, F.col("_at_head")).otherwise(0)).cast("int").alias(flag_col),
+        (F.col("_base") + F.col("_cum")).cast("bigint").alias(run_col),
     )
 
 

@@ -65,7 +65,7 @@ def build_star(spark: SparkSession, raw_feeds: dict[str, DataFrame], state_codes
         "dim_location": lambda: dims.dim_location(watch, seed, trim_codes=trim_codes,
                                                   dedupe_unknown=dedupe_unknown, seed_rows=seed.count()),
         "dim_movies": lambda: dims.dim_movies(movies),
-        "dim_users": lambda: dims.dim_users(watch, unknown_ids=unknown_ids),
+        "dim_users": lambda: dims.dim_users(watch, unknown_ids=unknown_ids, cuts=save("user_cuts", dims.user_cuts(watch))),
     }
     with ThreadPoolExecutor(max_workers=threads) as pool:
         done = dict(zip(models, pool.map(lambda name: save(name, models[name]()), models)))

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import hour_of, sanitize_columns
 from ..operators import audit, dims, facts, marts, staging
-from ..operators.joins import interval_join
 from ..schemas import FEED_NAMES, HOUR_COL
 from ..session import materialize, scratch_path
 from ..sources import bindings as bd
@@ -26,12 +25,10 @@ from .build import build_star
 from .hourly import load_hours, read_staging
 
 
-def _watch(spark: SparkSession, sf_dir: str, shared: bool = True) -> DataFrame:
-    """The staged watch feed. ``shared``: several models read it (users twice,
-    locations, the fact), so it is materialised once, as the staging table
-    they would read; a single reader takes it lazily."""
-    w = staging.stage(bd.raw_feed(spark, sf_dir, "watch_events"), "watch_events")
-    return materialize(w, "staged-watch") if shared else w
+def _watch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staged watch feed. Several models read it (user cuts and users, locations,
+    the fact), so it is materialised once, as the staging table they would read."""
+    return materialize(staging.stage(bd.raw_feed(spark, sf_dir, "watch_events"), "watch_events"), "staged-watch")
 
 
 def _stage(feed: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -58,31 +55,36 @@ def dim_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dims.dim_movies(_loaded_catalogue(spark, sf_dir).drop("source_genre"))
 
 
+def _cuts(w: DataFrame) -> DataFrame:
+    return materialize(dims.user_cuts(w), "user-cuts")
+
+
 def user_level_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dims.user_level_changes(_watch(spark, sf_dir, shared=False))
+    w = _watch(spark, sf_dir)
+    return dims.user_level_changes(w, cuts=_cuts(w))
 
 
 def user_level_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dims.user_level_runs(_watch(spark, sf_dir, shared=False))
+    w = _watch(spark, sf_dir)
+    return dims.user_level_runs(w, cuts=_cuts(w))
 
 
 def dim_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dims.dim_users(_watch(spark, sf_dir))
+    w = _watch(spark, sf_dir)
+    return dims.dim_users(w, cuts=_cuts(w))
 
 
 def asof_user_level(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = _watch(spark, sf_dir)
-    u = dims.dim_users(w)
     days = w.select("ts", "userId", F.col("ts").cast("date").alias("_day"))
-    x = interval_join(days, u, ["userId"], "_day", "rowActivationDate", "rowExpirationDate", take=["userKey"], how="left",
-                      hot=materialize(facts.hot_user_days(w), "hot-days"))
+    x = facts.join_user_asof(days, dims.dim_users(w, cuts=_cuts(w)), materialize(facts.hot_user_days(w), "hot-days"))
     return x.select("ts", "userId", "userKey")
 
 
 def _star(spark: SparkSession, sf_dir: str):
     """Staged feed and the four dimensions, those from data as written tables."""
     w = _watch(spark, sf_dir)
-    return (w, materialize(dims.dim_users(w), "dim-users"), materialize(dims.dim_movies(bd.movies(spark, sf_dir)), "dim-movies"),
+    return (w, materialize(dims.dim_users(w, cuts=_cuts(w)), "dim-users"), materialize(dims.dim_movies(bd.movies(spark, sf_dir)), "dim-movies"),
             materialize(dims.dim_location(w, bd.state_codes(spark, sf_dir)), "dim-location"), dims.dim_datetime(spark))
 
 
@@ -213,7 +215,7 @@ def fact_key_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_history_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.user_history_audit(dims.dim_users(_watch(spark, sf_dir)))
+    return audit.user_history_audit(dim_users(spark, sf_dir))
 
 
 # What full_build checks of each table it wrote: its key.

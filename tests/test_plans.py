@@ -7,7 +7,7 @@ import __spark_entry__ as E
 from mediamart.operators import dims
 from mediamart.plans.inspect import explain_text, operator_counts
 from mediamart.schemas import staged_schema
-from mediamart.session import scratch_path
+from mediamart.session import materialize, scratch_path
 from mediamart.sources import bindings as bd
 from mediamart.sources.sinks import write_table, cluster_by_hour
 from mediamart.operators.staging import stage
@@ -50,18 +50,36 @@ def test_location_scan_reads_four_columns(spark, staged_watch):
     assert sorted(f.split(":")[0] for f in watch_schema.split(",")) == ["city", "lat", "lon", "state"]
 
 
-def test_scd2_chain_shuffles_the_feed_once(spark, staged_watch):
-    """distinct, local windows and the bucket summary share one exchange of the feed."""
+def test_scd2_chain_makes_rows_distinct_first_and_shuffles_them_once(spark, staged_watch):
+    """Rows are distinct in each task before the first shuffle; local windows, the cut
+    summary and the join back then share one exchange of the distinct rows."""
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        text = explain_text(dims.user_level_changes(staged_watch), "simple")
+        cuts = materialize(dims.user_cuts(staged_watch), "cuts")
+        plans = [explain_text(dims.user_level_changes(staged_watch, cuts=c), "simple") for c in (None, cuts)]
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    feed = re.findall(r"(?<!Reused)Exchange hashpartitioning\(_k#\d+, _bucket#\d+, \d+\)", text)
-    assert len(set(feed)) == 1, feed
-    assert "ReusedExchange" in text
-    # the join back to the bucket summary needs no further exchange of the feed
-    assert not re.search(r"Exchange hashpartitioning\(coalesce", text)
+    for text, places in zip(plans, (r"_k#\d+, _bucket#\d+", r"_k#\d+, _bucket#\d+, _cut#\d+")):
+        rows = [m for m in re.finditer(rf"(.*)Exchange hashpartitioning\({places}, \d+\).*\n(.*)\n(.*)", text)
+                if "Reused" not in m[1] and "min_by" not in m[0]]
+        assert len(rows) == 1, text                                       # windows and summary share it
+        assert "ReusedExchange" in text
+        assert not re.search(r"Exchange hashpartitioning\(coalesce", text)
+        distinct = re.findall(r"Exchange hashpartitioning\([^)]*userId#\d+L[^)]*\)[^\n]*\n[^\n]*HashAggregate", text)
+        assert distinct                                                   # partial distinct below its exchange
+
+
+def test_asof_join_sweeps_closed_intervals(spark):
+    """Only the start of open rows is a join condition; closed ones are never held
+    against days."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = explain_text(E.queries()["q15_asof_user_level"](spark, SF_SMALL), "formatted")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    conditions = re.findall(r"Join condition: ([^\n]*_start[^\n]*)", text)
+    assert len(conditions) <= 1
+    assert "last(_open" in text
 
 
 def test_registered_fact_does_not_shuffle_the_feed_on_places(spark):
