@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import surrogate_key, sunday_week
 from .joins import bounded_broadcast
-from .scd2 import CUT_ROWS, OPEN_END, change_runs, close_runs, run_starts, timeline_cuts
+from .scd2 import CUT_ROWS, OPEN_END, change_runs, close_runs, coalesce_intervals, run_starts, timeline_cuts
 
 # The time spine of the date dimension and the days counted as
 # weekend (EXTRACT(DAYOFWEEK) numbering, 1 = Sunday ... 7 = Saturday).
@@ -132,24 +132,38 @@ def user_level_runs(watch: DataFrame, bucket: str = "hour", cuts: DataFrame | No
 
 
 def dim_users(watch: DataFrame, unknown_ids: Sequence[int] = (0, 1), bucket: str = "hour",
-              cuts: DataFrame | None = None) -> DataFrame:
-    """Users with level history as SCD2 rows, plus one open row per level of
-    each unknown user id. ``unknown_ids`` defaults to (0, 1) as in the
-    reference, so user 1 is in both branches (D9 in SURVEY). ``cuts`` is the
-    written ``user_cuts`` of the feed."""
+              cuts: DataFrame | None = None, coalesce_days: bool = False, one_open_row: bool = False) -> DataFrame:
+    """Users with level history as SCD2 rows, plus open rows of each unknown user id.
+    ``cuts`` is the written ``user_cuts`` of the feed.
+
+    The defaults are the reference's, kept quirks included; one argument each gives
+    the clean form:
+
+    * ``unknown_ids`` (0, 1): user 1 is in both branches (D9 in SURVEY); clean (0,);
+    * ``one_open_row`` False: an unknown id has one open, current row per level and
+      other attributes (D10); True: one row, as its last event says;
+    * ``coalesce_days`` False: changes within a day leave rows of no length, and a
+      change taken back on one day repeats a userKey (D11); True: the history by
+      what held at the end of each day (``coalesce_intervals``).
+    """
     runs = close_runs(user_level_runs(watch, bucket, cuts), USER_KEYS, ties=["registration"])
+    if coalesce_days:
+        runs = coalesce_intervals(runs, USER_KEYS, ["level", "registration"], "minDate")
     tracked = runs.select(
         F.col("userId").cast("bigint").alias("userId"), "firstName", "lastName", "gender",
         "dateOfBirth", "level", F.col("registration").cast("bigint").alias("registration"),
         F.col("minDate").alias("rowActivationDate"), "rowExpirationDate", "currentRow")
-    unknown = (watch.filter(F.col("userId").isin(list(unknown_ids)))
-                    .groupBy("userId", "firstName", "lastName", "gender", "dateOfBirth", "level",
-                             "registration")
-                    .agg(F.min("ts").cast("date").alias("rowActivationDate"))
-                    .select(F.col("userId").cast("bigint").alias("userId"), "firstName", "lastName",
-                            "gender", "dateOfBirth", "level",
-                            F.col("registration").cast("bigint").alias("registration"),
-                            "rowActivationDate", F.lit(OPEN_END).alias("rowExpirationDate"),
-                            F.lit(1).alias("currentRow")))
+    states = ["firstName", "lastName", "gender", "dateOfBirth", "level", "registration"]
+    unknown = watch.filter(F.col("userId").isin(list(unknown_ids)))
+    first_day = F.min("ts").cast("date").alias("rowActivationDate")
+    if one_open_row:
+        last = F.max(F.struct("ts", *states)).alias("_last")
+        unknown = unknown.groupBy("userId").agg(last, first_day).select("userId", "_last.*", "rowActivationDate").drop("ts")
+    else:
+        unknown = unknown.groupBy("userId", *states).agg(first_day)
+    unknown = unknown.select(
+        F.col("userId").cast("bigint").alias("userId"), "firstName", "lastName", "gender", "dateOfBirth", "level",
+        F.col("registration").cast("bigint").alias("registration"), "rowActivationDate",
+        F.lit(OPEN_END).alias("rowExpirationDate"), F.lit(1).alias("currentRow"))
     both = tracked.unionByName(unknown)
     return both.select(surrogate_key("userId", "rowActivationDate", "level").alias("userKey"), "*")

@@ -32,7 +32,7 @@ def fact_streams(watch: DataFrame, dim_users: DataFrame, dim_movies: DataFrame,
                  dim_location: DataFrame, dim_datetime: DataFrame,
                  movie_rows: int | None = None, location_rows: int | None = None,
                  datetime_rows: int | None = None, with_hour: bool = False,
-                 hot: DataFrame | None = None) -> DataFrame:
+                 hot: DataFrame | None = None, one_movie_per_title: bool = False) -> DataFrame:
     """One row per watch event and matching dimension row (left joins).
 
     * user: as-of join on userId and the event day in
@@ -46,6 +46,10 @@ def fact_streams(watch: DataFrame, dim_users: DataFrame, dim_movies: DataFrame,
     planner picks the strategy from its own size estimate, and AQE splits the
     skew of a hot title or place (both sides are then bare shuffles). ``hot`` is
     the written ``hot_user_days`` of the feed.
+
+    A title that several movies bear multiplies its events, as in the reference
+    (D14 in SURVEY); with ``one_movie_per_title`` the one with most votes (ties: the
+    smallest id) stands for it.
     """
     w = _days(watch).select("ts", "userId", "video", "city", "state", "lat", "lon",
                      "_day", hour_of("ts").alias("_hour"),
@@ -53,6 +57,9 @@ def fact_streams(watch: DataFrame, dim_users: DataFrame, dim_movies: DataFrame,
     x = join_user_asof(w, dim_users, hot)
 
     m = dim_movies.select(F.col("movieName").alias("_title"), F.col("movieKey").alias("videoKey"))
+    if one_movie_per_title:
+        first = F.struct((-F.coalesce("votes", F.lit(0))).alias("votes"), "movieId")
+        m = (dim_movies.groupBy(F.col("movieName").alias("_title")).agg(F.min_by("movieKey", first).alias("videoKey")))
     x = x.join(bounded_broadcast(m, movie_rows), "_title", "left")
 
     loc = dim_location.select(F.col("city").alias("_city"), F.col("stateCode").alias("_code"),

@@ -178,3 +178,27 @@ def close_runs(runs: DataFrame, keys: Sequence[str], run_col: str = "grouped",
         F.when(F.col("_has_next") == 1, F.col("_next")).otherwise(F.lit(OPEN_END)).alias(end_col),
         F.col("_last_run").cast("int").alias(current_col),
     )
+
+
+def coalesce_intervals(rows: DataFrame, keys: Sequence[str], same: Sequence[str], start_col: str,
+                       end_col: str = "rowExpirationDate", current_col: str = "currentRow") -> DataFrame:
+    """The clean form of a day history: what held at the end of each day, once.
+
+    ``rows`` are closed runs (each ends where the entity's next one starts). A row
+    that ends on the day it starts is left out: a later one of that day replaced
+    it. Rows that then follow each other with equal ``same`` columns (a change that
+    was taken back) become one, from the first start to the last end. Only the
+    open row of an entity is current. A row without a start stays only if nothing
+    follows it.
+
+    An entity has one row a day at most when the window sees it, so its partition
+    is bounded by the days of the history, whatever the number of changes.
+    """
+    start, end = F.col(start_col), F.col(end_col)
+    kept = rows.where((end > start) | (start.isNull() & (end == F.lit(OPEN_END)))).withColumn("_k", F.struct(*keys))
+    w = Window.partitionBy("_k").orderBy(start_col)
+    goes_on = F.lag(F.struct(*same)).over(w).eqNullSafe(F.struct(*same)) & (F.lag(end_col).over(w) == start)
+    island = F.sum(F.when(F.coalesce(goes_on, F.lit(False)), 0).otherwise(1)).over(w)
+    merged = (kept.withColumn("_island", island).groupBy("_k", *keys, *same, "_island")
+                  .agg(F.min(start_col).alias(start_col), F.max(end_col).alias(end_col)))
+    return merged.select(*keys, *same, start_col, end_col, (end == F.lit(OPEN_END)).cast("int").alias(current_col))

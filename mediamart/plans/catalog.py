@@ -215,7 +215,12 @@ def fact_key_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_history_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.user_history_audit(dim_users(spark, sf_dir))
+    """The audit of the reference's form of the history and of the clean one."""
+    w = _watch(spark, sf_dir)
+    cuts = _cuts(w)
+    forms = {"reference": {}, "clean": {"coalesce_days": True, "one_open_row": True}}
+    return reduce(DataFrame.unionByName, [
+        audit.user_history_audit(dims.dim_users(w, cuts=cuts, **how)).withColumn("form", F.lit(form)) for form, how in forms.items()])
 
 
 # What full_build checks of each table it wrote: its key.

@@ -1,0 +1,86 @@
+"""Clean forms of the user history against a day-by-day replay."""
+
+import datetime as dt
+import random
+
+from pyspark.sql import functions as F
+
+from conftest import T, raw_rows
+from mediamart.operators import dims, facts
+from mediamart.operators.scd2 import OPEN_END
+from mediamart.operators.staging import stage
+from test_fixtures import movies, seed
+
+
+def staged(spark, rows):
+    return stage(raw_rows(spark, "watch_events", rows), "watch_events")
+
+
+def replay(events):
+    """What held at the end of each day, from the events in order; equal neighbours merged."""
+    out = {}
+    by_user = {}
+    for e in sorted(events, key=lambda e: (e["timestamp"], e["level"], e["registration"])):
+        by_user.setdefault(e["userId"], {})[e["timestamp"].date()] = (e["level"], e["registration"])
+    for user, days in by_user.items():
+        spans = []
+        for day, state in sorted(days.items()):
+            if not spans or spans[-1][0] != state:
+                spans.append((state, day))
+        out[user] = [(state, a, b) for (state, a), b in zip(spans, [d for _, d in spans[1:]] + [OPEN_END])]
+    return out
+
+
+def test_days_are_coalesced(spark):
+    rng = random.Random(1)
+    events = [{"timestamp": T("2024-01-01 00:00:00") + dt.timedelta(minutes=rng.randrange(20 * 1440)), "userId": rng.randrange(2, 9),
+               "level": rng.choice(["free", "paid"]), "registration": 10} for _ in range(400)]
+    u = dims.dim_users(staged(spark, events), unknown_ids=(0,), coalesce_days=True)
+    got = {}
+    for r in u.orderBy("userId", "rowActivationDate").collect():
+        got.setdefault(r.userId, []).append(((r.level, r.registration), r.rowActivationDate, r.rowExpirationDate))
+        assert r.currentRow == (r.rowExpirationDate == OPEN_END)
+    assert got == replay(events)
+    assert u.groupBy("userKey").count().where("count > 1").count() == 0
+    assert dims.dim_users(staged(spark, events), unknown_ids=(0,)).where("rowActivationDate = rowExpirationDate").count() > 0
+
+
+def test_a_registration_that_changes_is_a_row_of_its_own(spark):
+    events = [{"timestamp": T(f"2024-01-0{d} 10:00:00"), "userId": 5, "level": "free", "registration": r}
+              for d, r in ((1, 10), (2, 20), (3, 20), (4, 30))]
+    u = dims.dim_users(staged(spark, events), coalesce_days=True)
+    day = lambda d: dt.date(2024, 1, d)
+    assert sorted((r.registration, r.rowActivationDate, r.rowExpirationDate, r.currentRow) for r in u.collect()) == \
+        [(10, day(1), day(2), 0), (20, day(2), day(4), 0), (30, day(4), OPEN_END, 1)]
+
+
+def test_users_without_times_stay(spark):
+    events = [{"timestamp": None, "userId": 5, "level": "free", "registration": 10},
+              {"timestamp": None, "userId": 6, "level": "free", "registration": 10},
+              {"timestamp": T("2024-01-02 10:00:00"), "userId": 6, "level": "paid", "registration": 10}]
+    u = dims.dim_users(staged(spark, events), coalesce_days=True)
+    assert sorted((r.userId, r.level, r.rowActivationDate) for r in u.collect()) == \
+        [(5, "free", None), (6, "paid", dt.date(2024, 1, 2))]
+    assert dims.dim_users(staged(spark, []), coalesce_days=True, one_open_row=True).count() == 0
+
+
+def test_unknown_ids_have_one_open_row(spark):
+    events = [{"timestamp": T("2024-01-01 10:00:00"), "userId": 0, "level": "free"},
+              {"timestamp": T("2024-01-03 10:00:00"), "userId": 0, "level": "paid"},
+              {"timestamp": None, "userId": 0, "level": "NA"}]
+    w = staged(spark, events)
+    assert dims.dim_users(w).where("userId = 0").count() == 3
+    rows = dims.dim_users(w, one_open_row=True).where("userId = 0").collect()
+    assert [(r.level, r.rowActivationDate, r.rowExpirationDate, r.currentRow) for r in rows] == \
+        [("paid", dt.date(2024, 1, 1), OPEN_END, 1)]
+
+
+def test_a_title_stands_for_one_movie(spark):
+    w = staged(spark, [{"timestamp": T("2024-01-01 10:00:00"), "userId": 5, "videoTitle": "Twin"},
+                       {"timestamp": T("2024-01-01 11:00:00"), "userId": 5, "videoTitle": "Solo"}])
+    m = dims.dim_movies(movies(spark, [("1", "Twin"), ("2", "Twin"), ("3", "Twin"), ("4", "Solo")])
+                        .withColumn("votes", F.col("movie_id").cast("bigint") % 3))
+    args = (dims.dim_users(w), m, dims.dim_location(w, seed(spark), dedupe_unknown=True), dims.dim_datetime(spark))
+    assert facts.fact_streams(w, *args).count() == 4
+    f = facts.fact_streams(w, *args, one_movie_per_title=True).join(m, F.col("videoKey") == F.col("movieKey"))
+    assert sorted((r.movieName, r.movieId) for r in f.collect()) == [("Solo", "4"), ("Twin", "2")]
