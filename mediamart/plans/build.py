@@ -11,6 +11,7 @@ from ..operators import dims, facts
 from ..operators.staging import stage
 from ..schemas import FEED_NAMES, HOUR_COL, staged_schema
 from ..sources.sinks import by_name, cluster_by_hour, read_table, write_table
+from .views import open_views, save_view
 
 
 @dataclass
@@ -74,7 +75,9 @@ def build_star(spark: SparkSession, raw_feeds: dict[str, DataFrame], state_codes
     bounds = dict(movie_rows=mov.count(), location_rows=loc.count(), datetime_rows=dt.count())   # from file footers
     hot = save("hot_user_days", facts.hot_user_days(watch))
     fact = facts.fact_streams(watch, usr, mov, loc, dt, with_hour=True, hot=hot, **bounds)
-    fact_back = save("fact_streams", cluster_by_hour(fact), HOUR_COL)
-    facts.wide_streams(fact_back, usr, mov, loc, dt, user_rows=usr.count(),
-                       **bounds).createOrReplaceTempView("wide_streams")
+    save("fact_streams", cluster_by_hour(fact), HOUR_COL)
+    tables = {"fact": "fact_streams", **{name: name for name in models}}
+    save_view(spark, out.root, "wide_streams", {arg: (out.paths[t][len(out.root) + 1:], out.schemas[t]) for arg, t in tables.items()},
+              {**bounds, "user_rows": usr.count()})
+    open_views(spark, out.root)
     return out

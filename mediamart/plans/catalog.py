@@ -16,31 +16,33 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import hour_of, sanitize_columns
 from ..operators import audit, dims, facts, marts, staging
 from ..schemas import FEED_NAMES, HOUR_COL
-from ..session import materialize, scratch_path
+from ..session import BASE_CONF, materialize, scratch_path
 from ..sources import bindings as bd
 from ..sources import files
+from ..sources.registry import Sources
 from ..sources.sinks import write_table
 from ..streaming.ingest import run_feed_ingest
 from .build import build_star
-from .hourly import load_hours, read_staging
+from .hourly import load_hours
+from .views import open_views
 
 
 def _watch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The staged watch feed. Several models read it (user cuts and users, locations,
     the fact), so it is materialised once, as the staging table they would read."""
-    return materialize(staging.stage(bd.raw_feed(spark, sf_dir, "watch_events"), "watch_events"), "staged-watch")
+    return materialize(staging.stage(bd.sources(spark, sf_dir).load(spark, "raw.watch_events"), "watch_events"), "staged-watch")
 
 
 def _stage(feed: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return staging.stage(bd.raw_feed(spark, sf_dir, feed), feed)
+        return staging.stage(bd.sources(spark, sf_dir).load(spark, f"raw.{feed}"), feed)
     run.__name__ = f"stage_{feed}"
     return run
 
 
 def dim_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The location dimension with seed codes as they are and trimmed."""
-    w, seed = _watch(spark, sf_dir), bd.state_codes(spark, sf_dir)
+    w, seed = _watch(spark, sf_dir), bd.sources(spark, sf_dir).load(spark, "state_codes")
     return reduce(DataFrame.unionByName, [
         dims.dim_location(w, seed, trim_codes=t).withColumn("trimmed", F.lit(t)) for t in (False, True)])
 
@@ -116,21 +118,23 @@ def sanitized_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 MISSING_GENRE = "war"   # registered but never written: the loader must skip it
 
 
-def _loaded_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Catalogue -> one CSV folder per genre -> registry and loader -> Parquet by
-    genre -> read back with the loader's schema."""
+def _loaded_catalogue(spark: SparkSession, sf_dir: str, missing: str | None = None) -> DataFrame:
+    """Catalogue, with two columns that the library does not know, -> one CSV folder
+    per genre -> registry and loader -> Parquet by genre -> read back with the
+    loader's schema."""
     root = scratch_path(spark, "genres")
-    raw = bd.raw_movies(spark, sf_dir)
-    (raw.where(F.col("genre") != MISSING_GENRE).withColumn("g", F.col("genre")).write.partitionBy("g")
+    raw = bd.unlisted_columns(bd.raw_movies(spark, sf_dir))
+    (raw.where(F.col("genre") != F.lit(missing or "")).withColumn("g", F.col("genre")).write.partitionBy("g")
         .option("header", True).option("escape", '"').csv(f"{root}/csv"))
     genres = ["film_noir" if g == "film-noir" else g for g in files.GENRES]   # the logical name
-    loaded = files.load_genres(spark, files.genre_registry(f"{root}/csv", genres, suffix="", prefix="g="))
+    named = Sources().add_genres(files.genre_registry(f"{root}/csv", genres, suffix="", prefix="g="))
+    loaded = named.load(spark, "imdb.movies")
     write_table(loaded, f"{root}/parquet", partition_by="source_genre")
-    return spark.read.schema(loaded.schema).parquet(f"{root}/parquet")
+    return named.add_table("imdb.loaded", f"{root}/parquet", loaded.schema).load(spark, "imdb.loaded")
 
 
 def csv_to_parquet_by_genre(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _loaded_catalogue(spark, sf_dir)
+    return _loaded_catalogue(spark, sf_dir, MISSING_GENRE)
 
 
 def _each(work: Callable[[str], None], names=FEED_NAMES) -> None:
@@ -152,8 +156,10 @@ def _raw_years(spark: SparkSession, sf_dir: str, root: str):
         yield span[0], span[1] + dt.timedelta(hours=3)
 
 
-def _stacked(tables: dict[str, DataFrame]) -> DataFrame:
-    """The columns that all feeds share, feeds stacked."""
+def _stacked(spark: SparkSession, staging_root: str) -> DataFrame:
+    """The columns that all staged feeds share, feeds stacked."""
+    named = Sources().add_staging(staging_root)
+    tables = {feed: named.load(spark, f"staging.{feed}") for feed in FEED_NAMES}
     shared = [c for c in next(iter(tables.values())).columns if all(c in t.columns for t in tables.values())]
     return reduce(DataFrame.unionByName, [t.select(F.lit(feed).alias("feed"), *shared) for feed, t in tables.items()])
 
@@ -175,7 +181,7 @@ def _hourly(mode: str) -> Callable[[SparkSession, str], DataFrame]:
         else:
             for h in range(3):
                 load("watch_events", spans[0][0] + dt.timedelta(hours=h), None, mode)
-        return _stacked({feed: read_staging(spark, path, feed) for feed, path in tables.items()})
+        return _stacked(spark, f"{root}/staging")
     run.__name__ = f"hourly_{mode}"
     return run
 
@@ -186,7 +192,7 @@ def stream_hourly_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {feed: f"{root}/staging/{feed}" for feed in FEED_NAMES}
     for _, end in _raw_years(spark, sf_dir, root):
         _each(lambda feed: run_feed_ingest(spark, f"{root}/raw", feed, tables[feed], f"{root}/checkpoint/{feed}", as_of=end))
-    return _stacked({feed: read_staging(spark, path, feed) for feed, path in tables.items()})
+    return _stacked(spark, f"{root}/staging")
 
 
 GENRE = "action"   # the catalogue table the top-rated report reads
@@ -231,11 +237,16 @@ BUILT_KEYS = {"state_codes": "stateCode", "watch_events": HOUR_COL, "ad_events":
 
 def full_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows, distinct keys and rows without a key of every table that the full
-    build wrote, and of the view over them."""
+    build wrote, and of the view over them, which a session of its own restores."""
     root = scratch_path(spark, "star")
     built = build_star(spark, bd.raw_feeds(spark, sf_dir), bd.state_codes(spark, sf_dir), bd.movies(spark, sf_dir), root)
+    fresh = spark.newSession()
+    for key in ("spark.sql.shuffle.partitions", *BASE_CONF):
+        if key.startswith("spark.sql."):
+            fresh.conf.set(key, spark.conf.get(key))
+    open_views(fresh, root)
     checks = [
-        (spark.table(name) if name == "wide_streams" else built.table(spark, name)).agg(
+        (fresh.table(name) if name == "wide_streams" else built.table(fresh, name)).agg(
             F.count("*").alias("rows"), F.countDistinct(key).alias("distinct_keys"), F.count_if(F.col(key).isNull()).alias("null_keys"))
         .select(F.lit(name).alias("name"), "*") for name, key in BUILT_KEYS.items()]
     return reduce(DataFrame.unionByName, checks)

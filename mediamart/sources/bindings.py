@@ -20,7 +20,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
+from ..schemas import FEED_NAMES
 from .files import GENRES, conform_movies, read_seed
+from .registry import Sources
 
 # Binding parameter: nations at or above SEED_NATIONS have no state code.
 SEED_NATIONS = 23
@@ -158,6 +160,14 @@ def raw_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def unlisted_columns(raw: DataFrame) -> DataFrame:
+    """Raw movies with two columns outside the known ones: whole numbers with gaps, and
+    truth values."""
+    key = F.col("movie_id").cast("bigint")
+    return (raw.withColumn("Release Week", F.when(key % 5 == 0, "NA").otherwise((key % 53).cast("string")))
+               .withColumn("in colour?", F.when(key % 3 == 0, "True").otherwise("False")))
+
+
 def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalogue as consumed by the movie dimension: sanitised names, typed."""
     return conform_movies(raw_movies(spark, sf_dir))
@@ -175,3 +185,12 @@ def arriving(feed: DataFrame) -> DataFrame:
              .when(late == 2, own - F.make_dt_interval(F.lit(400))).otherwise(own))
     return (feed.withColumn("arrival", own + F.make_dt_interval(F.lit(0), (late % 3).cast("int")))
                 .withColumn("timestamp", wild.cast("timestamp_ntz")))
+
+
+def sources(spark: SparkSession, sf_dir: str) -> Sources:
+    """The derived sources by name: raw feeds, the seed, the catalogue."""
+    named = Sources()
+    for feed in FEED_NAMES:
+        named.add(f"raw.{feed}", lambda s, feed=feed: raw_feed(s, sf_dir, feed))
+    return (named.add("seeds.state_codes", lambda s: state_codes(s, sf_dir))
+                 .add("imdb.raw_movies", lambda s: raw_movies(s, sf_dir)).add("imdb.movies", lambda s: movies(s, sf_dir)))

@@ -9,7 +9,7 @@ from mediamart.plans.inspect import explain_text, operator_counts
 from mediamart.schemas import staged_schema
 from mediamart.session import materialize, scratch_path
 from mediamart.sources import bindings as bd
-from mediamart.sources.sinks import write_table, cluster_by_hour
+from mediamart.sources.sinks import cluster_by_hour, read_table, write_table
 from mediamart.operators.staging import stage
 
 
@@ -19,7 +19,7 @@ def staged_watch(spark):
     path = scratch_path(spark, "plan-watch")
     w = stage(bd.raw_feed(spark, SF_SMALL, "watch_events"), "watch_events", with_hour=True)
     write_table(cluster_by_hour(w), path, "ts_hour")
-    return spark.read.schema(staged_schema("watch_events", with_hour=True)).parquet(path)
+    return read_table(spark, path, staged_schema("watch_events", with_hour=True))
 
 
 LAZY = [n for n in E.queries() if n.startswith("q") and not any(k in n for k in ("q02", "q03", "q04", "q22", "q23"))]

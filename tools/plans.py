@@ -38,7 +38,7 @@ def main():
     b = build_star(spark, bd.raw_feeds(spark, sf), bd.state_codes(spark, sf), bd.movies(spark, sf),
                    scratch_path(spark, "plans"))
     spark.conf.set("spark.sql.adaptive.enabled", "false")
-    w = spark.read.schema(staged_schema("watch_events", with_hour=True)).parquet(b.paths["watch_events"])
+    w = b.table(spark, "watch_events")
     t = lambda n: b.table(spark, n)
     bounds = dict(movie_rows=t("dim_movies").count(), location_rows=t("dim_location").count(),
                   datetime_rows=t("dim_datetime").count())
