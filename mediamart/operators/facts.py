@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import clean_title, day_of, hour_key, hour_of
+from ..functions import clean_title, day_of, hour_key, hour_of, surrogate_key
 from ..schemas import HOUR_COL
-from .dims import USER_KEYS
+from .dims import UNKNOWN, UNKNOWN_MOVIE_ID, USER_KEYS
 from .scd2 import OPEN_END
 from .joins import HOT_KEY_ROWS, bounded_broadcast, hot_keys, interval_join
 
@@ -37,7 +39,8 @@ def fact_streams(watch: DataFrame, dim_users: DataFrame, dim_movies: DataFrame,
 
     * user: as-of join on userId and the event day in
       [rowActivationDate, rowExpirationDate) (``interval_join``);
-    * movie: cleaned title = movieName;
+    * movie: cleaned title = movieName; the unknown title is the unknown movie, which
+      ``dim_movies`` is taken to hold once and no catalogue row to bear;
     * location: city, state code, latitude, longitude;
     * date: the event hour = the spine hour.
 
@@ -60,7 +63,13 @@ def fact_streams(watch: DataFrame, dim_users: DataFrame, dim_movies: DataFrame,
     if one_movie_per_title:
         first = F.struct((-F.coalesce("votes", F.lit(0))).alias("votes"), "movieId")
         m = (dim_movies.groupBy(F.col("movieName").alias("_title")).agg(F.min_by("movieKey", first).alias("videoKey")))
-    x = x.join(bounded_broadcast(m, movie_rows), "_title", "left")
+    # The unknown title, which a third of all events may bear, has one movie by its
+    # making: it takes that key as a literal, and its rows are spread over the join.
+    unknown = F.col("_title") == UNKNOWN
+    spread = F.concat(F.lit("\0"), F.pmod(F.xxhash64("ts", "userId"), F.lit(1 << 16)).cast("string"))
+    x = (x.withColumn("_asked", F.when(unknown, spread).otherwise(F.col("_title")))
+          .join(bounded_broadcast(m.withColumnRenamed("_title", "_asked"), movie_rows), "_asked", "left")
+          .withColumn("videoKey", F.when(unknown, surrogate_key(F.lit(UNKNOWN_MOVIE_ID))).otherwise(F.col("videoKey"))))
 
     loc = dim_location.select(F.col("city").alias("_city"), F.col("stateCode").alias("_code"),
                               F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"),
@@ -82,24 +91,26 @@ def fact_streams(watch: DataFrame, dim_users: DataFrame, dim_movies: DataFrame,
 def wide_streams(fact: DataFrame, dim_users: DataFrame, dim_movies: DataFrame,
                  dim_location: DataFrame, dim_datetime: DataFrame,
                  movie_rows: int | None = None, location_rows: int | None = None,
-                 datetime_rows: int | None = None, user_rows: int | None = None) -> DataFrame:
+                 datetime_rows: int | None = None, user_rows: int | None = None,
+                 within: Sequence[str] = ()) -> DataFrame:
     """Fact joined (inner) to all four dimensions on their surrogate keys.
 
     Facts with any null key drop out; duplicated dimension keys fan out, as
-    in the reference view.
+    in the reference view. ``within`` are columns that all five tables share and
+    that belong to every join (the slot of a bucketed star).
     """
-    u = dim_users.select("userKey", "firstName", "lastName", "gender", "level", "userId",
+    within = list(within)
+    u = dim_users.select(*within, "userKey", "firstName", "lastName", "gender", "level", "userId",
                          F.col("currentRow").alias("currentUserRow"))
-    m = dim_movies.select(F.col("movieKey").alias("videoKey"), F.col("runtime").alias("videoDuration"),
+    m = dim_movies.select(*within, F.col("movieKey").alias("videoKey"), F.col("runtime").alias("videoDuration"),
                           F.col("movieName").alias("videoName"))
-    loc = dim_location.select("locationKey", "city", F.col("stateName").alias("state"),
+    loc = dim_location.select(*within, "locationKey", "city", F.col("stateName").alias("state"),
                               "latitude", "longitude")
-    dt = dim_datetime.select("dateKey", F.col("date").alias("dateHour"), "dayOfMonth", "dayOfWeek")
-    x = (fact.join(bounded_broadcast(u, user_rows), "userKey", "inner")
-             .join(bounded_broadcast(m, movie_rows), "videoKey", "inner")
-             .join(bounded_broadcast(loc, location_rows), "locationKey", "inner")
-             .join(bounded_broadcast(dt, datetime_rows),
-                   "dateKey", "inner"))
+    dt = dim_datetime.select(*within, "dateKey", F.col("date").alias("dateHour"), "dayOfMonth", "dayOfWeek")
+    x = (fact.join(bounded_broadcast(u, user_rows), [*within, "userKey"], "inner")
+             .join(bounded_broadcast(m, movie_rows), [*within, "videoKey"], "inner")
+             .join(bounded_broadcast(loc, location_rows), [*within, "locationKey"], "inner")
+             .join(bounded_broadcast(dt, datetime_rows), [*within, "dateKey"], "inner"))
     return x.select("userKey", "videoKey", "dateKey", "locationKey", F.col("ts").alias("timestamp"),
                     "firstName", "lastName", "gender", "level", "userId", "currentUserRow",
                     "videoDuration", "videoName", "city", "state", "latitude", "longitude",

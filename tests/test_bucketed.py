@@ -1,0 +1,68 @@
+"""The bucketed star: same rows as the plain wide view, and no exchange at all."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from mediamart.operators import facts
+from mediamart.plans import catalog
+from mediamart.plans.bucketed import slots, wide_of_buckets, write_bucketed_star
+from mediamart.plans.inspect import explain_text
+from mediamart.session import materialize, scratch_path
+
+
+@pytest.fixture(scope="module")
+def star(spark):
+    w, u, m, loc, spine = catalog._star(spark, SF_SMALL)
+    fact = facts.fact_streams(w, u, m, loc, spine)
+    hot_user = u.where("userId > 1").first()["userKey"]
+    keyless = fact.limit(20).withColumn("userKey", F.lit(None).cast("string"))
+    crowd = fact.where(F.col("userKey") == hot_user).crossJoin(spark.range(50)).drop("id")
+    return materialize(fact.unionByName(keyless).unionByName(crowd), "fact"), u, m, loc, spine
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("hot_rows", [5, 10 ** 9])
+def test_same_rows_and_no_exchange(spark, star, no_broadcast, hot_rows):
+    root = scratch_path(spark, "buckets")
+    out = wide_of_buckets(spark, write_bucketed_star(*star, root, f"t{root[-12:]}", 6, hot_rows))
+    text = explain_text(out, "simple")
+    assert "Exchange" not in text and len(re.findall("SortMergeJoin", text)) == 4
+    plain = facts.wide_streams(*star)
+    key = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    assert key(out) == key(plain)
+    assert out.count() > 300
+
+
+def test_a_hot_user_is_spread_over_buckets(spark, star):
+    root = scratch_path(spark, "spread")
+    written = write_bucketed_star(*star, root, f"s{root[-12:]}", 6, 5)
+    per = spark.table(written.tables["fact"]).where("userKey IS NOT NULL").groupBy("userKey").agg(
+        F.count("*").alias("n"), F.countDistinct("slot").alias("slots"))
+    top = per.orderBy(F.desc("n")).first()
+    assert top["n"] > 50 and top["slots"] == 6
+    assert per.where("n <= 5 AND slots > 1").count() == 0
+
+
+@pytest.mark.parametrize("buckets", [1, 7, 64])
+def test_slots_fill_every_bucket(spark, buckets):
+    found = spark.createDataFrame([(s,) for s in slots(spark, buckets)], "slot int")
+    assert found.select(F.countDistinct(F.pmod(F.hash("slot"), F.lit(buckets)))).first()[0] == buckets
+
+
+def test_unknown_titles_are_spread_over_the_movie_join(spark, star, no_broadcast):
+    w, u, m, loc, spine = catalog._star(spark, SF_SMALL)
+    silent = w.withColumn("video", F.lit("NA"))
+    out = facts.fact_streams(silent, u, m, loc, spine)
+    assert out.select("videoKey").distinct().count() == 1
+    assert out.join(m, F.col("videoKey") == F.col("movieKey")).where("movieName = 'NA'").count() == out.count()
+    text = explain_text(out, "simple")
+    assert re.search(r"Exchange hashpartitioning\(_asked", text)
