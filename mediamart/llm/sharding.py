@@ -7,10 +7,12 @@ random permutation has, so permuting within the block, sending by the drawn
 counts, and permuting again within the target gives a uniform shuffle, and
 the sizes are exact by construction.
 
-A target is one of ``fine`` equal parts of a shard, so no task sorts a whole
-shard, and the slot where a part begins is known beforehand. The matrix is drawn
-in two levels: a bounded number of block groups on the driver, the blocks of
-each group in Spark.
+What is permuted and sent are row ids (two hashes of the row), so a block or a
+target is sorted in little memory however long the texts are; the rows themselves
+move once, to meet their places. A target is an equal part of a shard, and the
+slot where it begins is known beforehand. Blocks and targets follow from the
+number of rows alone. The matrix is drawn in two levels: a bounded number of
+block groups on the driver, the blocks of each group in Spark.
 """
 
 from __future__ import annotations
@@ -20,10 +22,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from mediamart.llm import common as c
+from mediamart.session import materialize
 
-ROWS_PER_BLOCK = 100_000
+ROWS_PER_BLOCK = 1_000_000  # of 40 bytes each; more where that makes over MOST_BLOCKS blocks
+LEAST_BLOCKS, MOST_BLOCKS = 64, 4096
 MAX_GROUPS = 256
-MAX_FINE = 64
+COPIES_PER_TASK = 10_000
 
 
 def hypergeometric(rng: np.random.Generator, good: int, bad: int, draws: int) -> int:
@@ -63,30 +67,36 @@ def even_sizes(total: int, parts: int) -> list[int]:
     return [total // parts + (i < total % parts) for i in range(parts)]
 
 
-def shuffle_into_shards(docs: DataFrame, shards: int = 16, seed: int = 11,
-                        identity: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
-    """``docs`` with ``shard`` (0 to shards - 1) and ``slot`` (gapless from 0
-    within the shard); shard counts differ by one at most.
-
-    The same rows and seed give the same result whatever their order and
-    partitions; rows equal in the columns of ``identity`` are interchangeable.
-    Nulls are hashed like values, all columns are moved whole, columns of the input named
-    ``shard`` or ``slot`` are replaced, and an empty table gives no rows.
-    """
-    spark = c.prepare(docs.sparkSession)
-    buckets = c.shuffle_buckets(spark)
+def row_ids(docs: DataFrame, seed: int, identity: tuple[str, ...]) -> DataFrame:
+    """(first, second, row): two hashes of the identity columns, and the whole row."""
     names = [x for x in docs.columns if x not in ("shard", "slot")]
-    rows = docs.select(F.struct(*names).alias("row"), F.xxhash64(*identity, F.lit(seed)).alias("first"),
-                       F.xxhash64(F.lit(seed + 1), *identity).alias("second"))
-    total = docs.count()
-    blocks = max(buckets, -(-total // ROWS_PER_BLOCK))
-    group = -(-blocks // min(blocks, MAX_GROUPS))  # blocks a group
-    fine = min(MAX_FINE, max(1, -(-2 * blocks // shards)))
+    return docs.select(F.xxhash64(*identity, F.lit(seed)).alias("first"), F.xxhash64(F.lit(seed + 1), *identity).alias("second"),
+                       F.struct(*names).alias("row"))
+
+
+def every_copy(ids: DataFrame) -> DataFrame:
+    """(first, second, nth) for nth from 1 to the ``n`` of every id, whose numbers are
+    made in as many tasks as there are COPIES_PER_TASK of them."""
+    few, many = ids.where(F.col("n") <= COPIES_PER_TASK), ids.where(F.col("n") > COPIES_PER_TASK)
+    chunk = many.withColumn("from", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"), F.lit(COPIES_PER_TASK).cast("long"))))
+    chunk = chunk.repartition("first", "second", "from")
+    number = lambda a, b: F.explode(F.sequence(a, b)).alias("nth")
+    return few.select("first", "second", number(F.lit(1).cast("long"), F.col("n"))).unionByName(
+        chunk.select("first", "second", number(F.col("from"), F.least("n", F.col("from") + COPIES_PER_TASK - 1))))
+
+
+def draw_places(ids: DataFrame, shards: int, seed: int) -> DataFrame:
+    """(first, second, nth, shard, slot): a place for each copy of each row id.
+    ``ids`` is a table of (first, second, n)."""
+    total = ids.agg(F.sum("n")).first()[0] or 0
+    blocks = min(MOST_BLOCKS, max(LEAST_BLOCKS, -(-total // ROWS_PER_BLOCK)))
+    group = -(-blocks // MAX_GROUPS)  # blocks a group
+    fine = -(-blocks // shards)
     sizes = [even_sizes(n, fine) for n in even_sizes(total, shards)]
     targets = [x for s in sizes for x in s]
     starts = [x for s in sizes for x in np.r_[0, np.cumsum(s)[:-1]].astype(int).tolist()]
 
-    rows = rows.withColumn("block", F.pmod("first", F.lit(blocks)).cast("int"))
+    rows = every_copy(ids).withColumn("block", F.pmod(F.xxhash64("first", "second", "nth"), F.lit(blocks)).cast("int"))
     counts = rows.groupBy("block").agg(F.count("*").alias("n")).withColumn("group", F.floor(F.col("block") / group).cast("int"))
     per_group = {r["group"]: r["n"] for r in counts.groupBy("group").agg(F.sum("n").alias("n")).collect()}
     order = sorted(per_group)
@@ -100,13 +110,49 @@ def shuffle_into_shards(docs: DataFrame, shards: int = 16, seed: int = 11,
         return pd.DataFrame({"block": pdf["block"], "ends": [np.cumsum(line).tolist() for line in matrix]})
 
     ends = counts.groupBy("group").applyInPandas(split, "block int, ends array<long>")
-    # Equal rows have equal hashes; their number among themselves tells them apart.
-    nth = F.row_number().over(Window.partitionBy("block", "first").orderBy("second"))
-    local = rows.withColumn("nth", nth)
-    local = local.withColumn("place", F.row_number().over(
-        Window.partitionBy("block").orderBy(F.xxhash64("first", "nth", F.lit(seed)), "first", "nth")) - 1)
-    sent = local.join(ends, "block").withColumn("target", F.size(F.filter("ends", lambda e: e <= F.col("place"))))
-    again = Window.partitionBy("target").orderBy(F.xxhash64("second", "nth", F.lit(seed)), "first", "nth")
+
+    def permuted(by: str, salt: int) -> "F.Column":
+        mixed = F.xxhash64("first", "second", "nth", F.lit(seed), F.lit(salt))
+        return F.row_number().over(Window.partitionBy(by).orderBy(mixed, "first", "second", "nth")) - 1
+
+    sent = (rows.withColumn("place", permuted("block", 1)).join(ends, "block")
+                .withColumn("target", F.size(F.filter("ends", lambda e: e <= F.col("place")))))
     start = F.element_at(F.array(*[F.lit(int(x)).cast("long") for x in starts]), F.col("target") + 1)
-    out = sent.withColumn("slot", start + F.row_number().over(again) - 1)
-    return out.select("row.*", F.floor(F.col("target") / fine).cast("int").alias("shard"), F.col("slot").cast("long").alias("slot"))
+    return sent.select("first", "second", "nth", F.floor(F.col("target") / fine).cast("int").alias("shard"),
+                       (start + permuted("target", 2)).cast("long").alias("slot"))
+
+
+def shuffle_into_shards(docs: DataFrame, shards: int = 16, seed: int = 11,
+                        identity: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
+    """``docs`` with ``shard`` (0 to shards - 1) and ``slot`` (gapless from 0
+    within the shard); shard counts differ by one at most.
+
+    The same rows and seed give the same result whatever their order, their
+    partitions and the session's shuffle width; rows equal in the columns of
+    ``identity`` are interchangeable, in any number. Nulls are hashed like values,
+    all columns are moved whole and once, however long, columns of the input named
+    ``shard`` or ``slot`` are replaced, and an empty table gives no rows. ``docs`` is
+    read twice (its ids, then its rows) and must read the same.
+    """
+    spark = c.prepare(docs.sparkSession)
+    rows = row_ids(docs, seed, identity)
+    ids = materialize(rows.groupBy("first", "second").agg(F.count("*").alias("n")), "row-ids")
+    places = materialize(draw_places(ids, shards, seed), "places")
+    c.release(spark)
+    key = ["first", "second"]
+    copied = materialize(ids.where("n > 1"), "copied")
+    if copied.isEmpty():
+        found = rows.join(places.drop("nth"), key)
+    else:
+        tagged = rows.join(copied, key, "left")
+        single = tagged.where("n IS NULL").join(places.where("nth = 1").drop("nth"), key)
+        # Copies are numbered in parts of bounded size, then over the parts.
+        copies = (rows.withColumn("at", F.monotonically_increasing_id()).join(copied, key)
+                      .withColumn("part", F.pmod(F.xxhash64("at"), F.ceil(F.col("n") / COPIES_PER_TASK))))
+        before = F.sum("m").over(Window.partitionBy(*key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+        parts = copies.groupBy(*key, "part").agg(F.count("*").alias("m")).select(*key, "part", F.coalesce(before, F.lit(0)).alias("before"))
+        numbered = copies.withColumn("within", F.row_number().over(Window.partitionBy(*key, "part").orderBy("at")))
+        numbered = numbered.join(parts, [*key, "part"]).withColumn("nth", F.col("before") + F.col("within"))
+        many = numbered.join(places, [*key, "nth"])
+        found = single.select("row", "shard", "slot").unionByName(many.select("row", "shard", "slot"))
+    return found.select("row.*", "shard", "slot")
