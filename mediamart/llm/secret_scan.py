@@ -3,8 +3,9 @@
 Text that a byte-pair vocabulary has seen packs many characters into a token;
 random strings do not. A run of key-like characters is reported when it has few
 characters per token under a tiktoken vocabulary, unless it has the shape of a
-known digest, UUID or number. Runs of letter parts, which names of things are too, are
-judged by their letters alone under a stricter limit.
+known digest, UUID or number. Grouped and dotted keys are judged by their parts
+together; parts that may be words of a name are judged by their letters under a
+stricter limit.
 """
 
 from __future__ import annotations
@@ -36,19 +37,17 @@ ASSIGN_LENGTH, ACCESS_LENGTH = 6, 20
 # Fixed value: the splitting pattern the vocabulary was made with.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_LENGTH)
+# Runs of key-like characters; a dot counts inside one.
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]+(?:\.[A-Za-z0-9+/_=-]+)*")
 # Shapes that look random and are no secrets: digests (32, 40, 56, 64, 96 or 128
-# hex digits), UUIDs, plain numbers, and identifiers made of words.
+# hex digits), UUIDs and plain numbers, times and versions.
 KNOWN = re.compile(
     r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})\Z"
     r"|[0-9a-f]{8}-(?:[0-9a-f]{4}-){3}[0-9a-f]{12}\Z"
-    r"|[0-9/_=+-]+\Z", re.I | re.A)
-# Letter parts with a few digits at their ends, or no digit at all: words or not.
-PARTS = re.compile(
-    r"[A-Za-z]+[0-9]{0,4}\Z"
-    r"|(?:[A-Za-z]+[0-9]{0,4}[/_=+-]+)+(?:[A-Za-z]+[0-9]{0,4}|[0-9]+)?\Z"
-    r"|[^0-9]+\Z", re.A)
-PART = re.compile(r"[A-Za-z]{4,}")  # shorter ones tell nothing: any is a token or two
+    r"|[0-9/_=+.-]+\Z", re.I | re.A)
+BETWEEN = re.compile(r"[/_=+.-]+")
+NAME = re.compile(r"([A-Za-z]+)[0-9]{0,4}\Z", re.A)  # a part that may be a word with a number
+LEAST_PART, LEAST_JUDGED = 3, 12  # shorter parts tell nothing: any is a token or two
 
 
 class TokenEfficiency:
@@ -91,13 +90,19 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def is_random(run: str, packed: TokenEfficiency, below: float) -> bool:
-    """Whether the characters per token are too few: of the whole run, or, where it
-    may be a name made of words, of its letter parts."""
-    if not PARTS.match(run):
-        return packed(run) < below
-    parts = PART.findall(run)
-    tokens = sum(len(x) / packed(x) for x in parts)
-    return sum(map(len, parts)) < min(below, WORD_CHARS_PER_TOKEN) * tokens
+    """Whether the tokens of the run's parts (between separators) are too many for
+    their characters: at least one for every ``below`` of them, or for every
+    WORD_CHARS_PER_TOKEN letters of a part that may be a word. Numbers and parts under
+    LEAST_PART characters are not counted, and under LEAST_JUDGED in all tell nothing."""
+    judged, allowed = 0, 0.0
+    for part in BETWEEN.split(run):
+        limit = below
+        if name := NAME.match(part):
+            part, limit = name[1], min(below, WORD_CHARS_PER_TOKEN)
+        if len(part) >= LEAST_PART and not part.isdigit():
+            judged += len(part)
+            allowed += limit * len(part) / packed(part)
+    return judged >= LEAST_JUDGED and judged < allowed
 
 
 def token_spans(text: str, packed: TokenEfficiency, base: list[tuple[int, int, int]],
@@ -107,7 +112,7 @@ def token_spans(text: str, packed: TokenEfficiency, base: list[tuple[int, int, i
     found = []
     for m in CANDIDATE.finditer(text):
         run = m[0]
-        if any(start <= m.start() and m.end() <= end for start, _, end in base):
+        if len(run) < MIN_LENGTH or any(start <= m.start() and m.end() <= end for start, _, end in base):
             continue
         if not KNOWN.match(run) and is_random(run, packed, below):
             found.append((m.start(), 3, m.end()))
@@ -129,7 +134,8 @@ def scan_secrets(docs: DataFrame, vocabulary: str = TOKENIZER, below: float = CH
 
     A null text is empty; an empty list of spans is the empty string. Other
     columns are ignored, repeated rows are scanned each, and an empty table
-    gives no rows. No shuffle: every row is read where it lies.
+    gives no rows. No shuffle: every row is read where it lies, whole, however
+    long; a long run is read in pieces of 512 characters.
     """
     def run(batches):
         packed = efficiency(vocabulary)
@@ -149,7 +155,8 @@ def scan_secrets(docs: DataFrame, vocabulary: str = TOKENIZER, below: float = CH
 
 
 def mask_secrets(docs: DataFrame, vocabulary: str = TOKENIZER, mark: str = "<secret>") -> DataFrame:
-    """``docs`` with every found span of ``text`` replaced by ``mark``."""
+    """``docs`` with every found span of ``text`` replaced by ``mark``; of overlapping
+    spans the cover is. Null and empty texts stay; other columns and rows are kept."""
     def run(batches):
         packed = efficiency(vocabulary)
         for batch in batches:

@@ -76,3 +76,75 @@ def test_letters_only_and_short_random_keys_are_found(length):
     "/usr/local/lib/python3/site-packages", "Geschwindigkeitsbegrenzung", "--------------------", "/a/b/c/d/e/f/g/h/i"])
 def test_names_made_of_words_are_no_secrets(name):
     assert ss.token_spans(f"see {name} here", ss.efficiency(ss.TOKENIZER), []) == []
+
+
+KEYS = {  # separator, alphabet, parts, letters of a part, digits after them
+    "caps in threes": ("-", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", 5, 3, 0), "letters and digits": ("-", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", 4, 3, 2),
+    "dotted": (".", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", 4, 5, 0),
+    "dotted in eights": (".", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", 3, 8, 0),
+    "lower in threes": ("_", "abcdefghijklmnopqrstuvwxyz", 6, 3, 0), "licence key": ("-", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 5, 5, 0)}
+
+
+@pytest.mark.parametrize("kind", KEYS)
+def test_grouped_and_dotted_keys_are_found_whole(kind):
+    between, alphabet, parts, letters, digits = KEYS[kind]
+    rng = random.Random(kind)
+    packed, found = ss.efficiency(ss.TOKENIZER), 0
+    for _ in range(500):
+        key = between.join("".join(rng.choices(alphabet, k=letters) + rng.choices("0123456789", k=digits)) for _ in range(parts))
+        found += ss.token_spans(f"key {key}. Next", packed, []) == [(4, 3, 4 + len(key))]
+    assert found >= 490
+
+
+@pytest.mark.parametrize("name", [
+    "www.example.com/path/index.html", "org.apache.spark.sql.functions", "utf-8-sig.x86_64.tar.gz", "the-cat-sat-and-ate",
+    "v1.2.3-rc1.build42", "com.fasterxml.jackson.core.JsonParser", "192.168.100.200:8080", "2024.12.31-23.59.59.000"])
+def test_dotted_names_are_no_secrets(name):
+    assert ss.token_spans(f"see {name} here", ss.efficiency(ss.TOKENIZER), []) == []
+
+
+def test_token_spans_against_the_rule(small_docs):
+    """Every run of a text, told one by one without patterns."""
+    packed = ss.efficiency(ss.TOKENIZER)
+    allowed = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-")
+
+    def runs(text):
+        at = 0
+        while at < len(text):
+            end = at
+            while end < len(text) and (text[end] in allowed or text[end] == "." and end > at and text[end - 1] in allowed
+                                       and end + 1 < len(text) and text[end + 1] in allowed):
+                end += 1
+            if end > at:
+                yield at, end
+            at = max(end, at + 1)
+
+    def secret(run):
+        judged = allowed_tokens = 0
+        part = ""
+        for x in run + "-":
+            if x.isalnum():
+                part += x
+                continue
+            letters = part.rstrip("0123456789")
+            word = letters.isalpha() and len(part) - len(letters) <= 4
+            body, limit = (letters, 2.05) if word else (part, 2.2)
+            if len(body) >= 3 and not body.isdigit():
+                judged += len(body)
+                allowed_tokens += limit * sum(len(packed._encoding.encode_ordinary(body[i:i + 512])) for i in range(0, len(body), 512))
+            part = ""
+        return judged >= 12 and judged < allowed_tokens
+
+    rng = random.Random(8)
+    alphabet = "ABCabcxyzQWZ0189+/_=-. "
+    made = ["".join(rng.choices(alphabet, k=400)) for _ in range(60)]
+    for text in made + [r.text for r in small_docs.collect() if r.text]:
+        base_found = base(text)
+        want = [(a, 3, b) for a, b in runs(text) if b - a >= 16 and not ss.KNOWN.match(text[a:b]) and secret(text[a:b])
+                and not any(s <= a and b <= e for s, _, e in base_found)]
+        assert ss.token_spans(text, packed, base_found) == want
+
+
+def test_very_long_texts(documents):
+    got = ss.scan_secrets(documents(["word " * 200_000 + "token=abcdefgh", "x" * 300_000])).orderBy("doc_id").collect()
+    assert got[0].spans == "assign:1000000:1000014" and got[1].n_assign == 0
