@@ -140,19 +140,22 @@ def shuffle_into_shards(docs: DataFrame, shards: int = 16, seed: int = 11,
     places = materialize(draw_places(ids, shards, seed), "places")
     c.release(spark)
     key = ["first", "second"]
-    copied = materialize(ids.where("n > 1"), "copied")
-    if copied.isEmpty():
-        found = rows.join(places.drop("nth"), key)
-    else:
-        tagged = rows.join(copied, key, "left")
-        single = tagged.where("n IS NULL").join(places.where("nth = 1").drop("nth"), key)
-        # Copies are numbered in parts of bounded size, then over the parts.
-        copies = (rows.withColumn("at", F.monotonically_increasing_id()).join(copied, key)
+    crowds = materialize(ids.where(F.col("n") > COPIES_PER_TASK).select(*key, "n"), "crowds")
+    crowded = not crowds.isEmpty()
+    few, few_places = (x.join(crowds, key, "left_anti") if crowded else x for x in (rows, places))
+    # Rows move once, by their id; copies are numbered where they meet and take a place each.
+    nth = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(1)))
+    listed = few_places.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("nth", "shard", "slot"))).alias("places"))
+    place = F.element_at("places", F.col("nth").cast("int"))
+    found = (few.withColumn("nth", nth).join(listed, key).withColumn("place", place)
+                .select("row", F.col("place.shard").alias("shard"), F.col("place.slot").alias("slot")))
+    if crowded:
+        # Crowds of copies are numbered in parts of bounded size, then over the parts.
+        copies = (rows.withColumn("at", F.monotonically_increasing_id()).join(crowds, key)
                       .withColumn("part", F.pmod(F.xxhash64("at"), F.ceil(F.col("n") / COPIES_PER_TASK))))
         before = F.sum("m").over(Window.partitionBy(*key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
         parts = copies.groupBy(*key, "part").agg(F.count("*").alias("m")).select(*key, "part", F.coalesce(before, F.lit(0)).alias("before"))
         numbered = copies.withColumn("within", F.row_number().over(Window.partitionBy(*key, "part").orderBy("at")))
         numbered = numbered.join(parts, [*key, "part"]).withColumn("nth", F.col("before") + F.col("within"))
-        many = numbered.join(places, [*key, "nth"])
-        found = single.select("row", "shard", "slot").unionByName(many.select("row", "shard", "slot"))
+        found = found.unionByName(numbered.join(places, [*key, "nth"]).select("row", "shard", "slot"))
     return found.select("row.*", "shard", "slot")
