@@ -168,6 +168,28 @@ def groups(batches, keys: list[str]):
         yield current, rows
 
 
+# ---------------------------------------------------------------- hot keys
+
+LEAST_HOT_ROWS, MOST_HOT_KEYS = 1_000, 20_000
+
+
+def hot_key_join(rows: DataFrame, small: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """``rows.join(small, key, how)`` (inner or left) where ``small`` has one row a key and
+    a key may hold a third of all ``rows``, a written table.
+
+    Keys of more than LEAST_HOT_ROWS rows, and of more than 1 / MOST_HOT_KEYS of them,
+    are MOST_HOT_KEYS at most: their rows stay where they lie and meet a broadcast
+    of those keys. All others are joined by a shuffle, in which no key is hot.
+    """
+    least = max(LEAST_HOT_ROWS, rows.count() // MOST_HOT_KEYS)
+    hot = materialize(rows.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > least).select(key), "hot_keys")
+    if hot.isEmpty():
+        return rows.join(small, key, how)
+    hot = F.broadcast(hot)
+    here = F.broadcast(small.join(hot, key, "left_semi"))
+    return rows.join(hot, key, "left_semi").join(here, key, how).unionByName(rows.join(hot, key, "left_anti").join(small, key, how))
+
+
 # ---------------------------------------------------------------- collisions
 
 def _stars(keys: np.ndarray, nodes: np.ndarray):

@@ -14,10 +14,12 @@ that two of n different paragraphs share one has probability n**2 / 2**65.
 A passage is PASSAGE_WORDS consecutive words anywhere in a text, lines or not. A
 text's passages are chosen by content: of every SHARED_WORDS - PASSAGE_WORDS + 1
 consecutive ones the one with the smallest hash. So two texts that share a run of
-SHARED_WORDS words share a chosen passage, wherever the run lies in them. Passages
-are compared by equality: one changed word inside costs five of their 16 shingles,
-so at 0.8 only an outermost word could differ. Parts of a changed run are found where
-they reach SHARED_WORDS between changes, shorter ones by chance.
+SHARED_WORDS words share a chosen passage, wherever the run lies in them. Colliding
+passages are verified by what surrounds them: a band key for each run of
+SHARED_WORDS words that holds the passage joins those that lie in a shared run of
+that length, and only those; removals are clustered by components again. One changed
+word in such a run costs five of its 46 shingles: parts of a changed run are found
+where they reach SHARED_WORDS between changes (or, as whole lines, at 0.8).
 """
 
 from __future__ import annotations
@@ -165,21 +167,22 @@ def repeated_paragraphs(docs: DataFrame, percent: int = 80, min_words: int = MIN
     paragraphs = materialize(_paragraphs(docs, min_words), "paragraphs")
     clusters = c.connected_components(c.collision_edges(paragraphs.where("keys is not null").select("node", "keys")))
     places = paragraphs.drop("keys")
-    chosen = (places.join(clusters, "node").groupBy("node").agg(
-        F.min(F.struct("doc_id", "paragraph")).alias("at"), F.first("component").alias("cluster"))
-        .select("node", "cluster", "at.doc_id", "at.paragraph"))
+    chosen = (places.groupBy("node").agg(F.min(F.struct("doc_id", "paragraph")).alias("at")).join(clusters, "node")
+              .select("node", F.col("component").alias("cluster"), "at.doc_id", "at.paragraph"))
     links = _links(c.comparison_blocks(_bodies(docs, chosen, min_words).distinct()), percent)
     components = c.connected_components(links)
-    owned = places.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    owned = c.hot_key_join(places, components, "node", "left").withColumn("component", F.coalesce("component", "node"))
     owned = materialize(owned.select("doc_id", "paragraph", "n_words", "component"), "owned")
     repeated = owned.groupBy("component").agg(F.count("*").alias("n_copies"), F.min(F.struct("doc_id", "paragraph")).alias("first")).where("n_copies > 1")
-    out = owned.join(repeated, "component").select(
+    out = c.hot_key_join(owned, materialize(repeated, "repeated"), "component").select(
         "doc_id", "paragraph", "n_words", F.col("first.doc_id").alias("first_doc_id"),
         F.col("first.paragraph").alias("first_paragraph"), "n_copies")
     return out.withColumn("removed", (F.col("doc_id") != F.col("first_doc_id")) | (F.col("paragraph") != F.col("first_paragraph")))
 
 
 _PASSAGES = pa.schema([("doc_id", pa.int64()), ("word", pa.int32()), ("node", pa.int64())])
+_CONTEXTS = pa.schema([("doc_id", pa.int64()), ("word", pa.int32()), ("passage", pa.int64()), ("node", pa.int64()),
+                       ("keys", pa.binary())])
 
 
 def _sliding(x: np.ndarray, span: int, low) -> np.ndarray:
@@ -205,6 +208,27 @@ def passages_of(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
     return at, ids[at].view(np.int64)
 
 
+def contexts_of(text: bytes, at: np.ndarray) -> list[tuple[int, int, bytes]]:
+    """(first word, id, keys) of the passages at words ``at`` with what surrounds them:
+    a key for each run of SHARED_WORDS words that holds the passage, by its words and
+    its place around it. Two passages share a key where they lie in a shared run,
+    and an id where all their runs are equal. Passages in no such run are left out."""
+    words = c.word_hashes(c.words_of(text))
+    if len(words) < SHARED_WORDS:
+        return []
+    runs = c.shingle_hashes(words, SHARED_WORDS)
+    out = []
+    for word in at.tolist():
+        first = max(0, word - SHARED_WORDS + PASSAGE_WORDS)
+        held = runs[first:word + 1]  # the last may start at the passage, if the text goes on
+        if word + PASSAGE_WORDS <= len(words) and len(held):
+            place = (word - first - np.arange(len(held))).astype(np.uint64)
+            keys = c.mix(held + place * np.uint64(0x9E3779B97F4A7C15))
+            node = c.mix(keys[:1] * np.uint64(3) + keys[-1:] * np.uint64(5) + np.uint64(len(held)))
+            out.append((word, int(node.view(np.int64)[0]), keys.tobytes()))
+    return out
+
+
 def _passages(docs: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
@@ -219,22 +243,56 @@ def _passages(docs: DataFrame) -> DataFrame:
     return c.map_arrow(docs.select("doc_id", "text"), run, "doc_id long, word int, node long")
 
 
+def _contexts(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """(doc_id, word, passage, node, keys) of the passages at ``places`` (doc_id, word,
+    node) that some run of SHARED_WORDS words holds; keys once a task and node."""
+    wanted = places.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("word", "node"))).alias("wanted"))
+    joined = docs.select("doc_id", "text").join(wanted, "doc_id")
+
+    def run(batches):
+        seen = set()
+        for batch in c.sliced(batches):
+            rows = []
+            for doc_id, text, asked in zip(batch.column("doc_id").to_pylist(), c.texts_of(batch), batch.column("wanted").to_pylist()):
+                at, ids = passages_of(text)
+                own = dict(zip(at.tolist(), ids.tolist()))  # another row of this doc_id may have chosen others
+                here = [w["word"] for w in asked if own.get(w["word"]) == w["node"]]
+                for word, node, keys in contexts_of(text, np.array(here, np.int64)) if here else []:
+                    rows.append((doc_id, word, own[word], node, None if node in seen else keys))
+                    seen.add(node)
+            if len(seen) > _SEEN:
+                seen.clear()
+            if rows:
+                yield c.record(_CONTEXTS, list(zip(*rows)))
+
+    return c.map_arrow(joined, run, "doc_id long, word int, passage long, node long, keys binary")
+
+
 def _repeated_passages(docs: DataFrame) -> DataFrame:
-    places = materialize(_passages(docs.where("doc_id is not null")), "passages")
-    repeated = (places.groupBy("node").agg(F.count("*").alias("n_copies"), F.min(F.struct("doc_id", "word")).alias("first"))
+    """(doc_id, word, passage, first_doc_id, first_word, n_copies, removed)."""
+    docs = docs.where("doc_id is not null")
+    places = materialize(_passages(docs), "passages")
+    ids = materialize(places.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node"), "repeated_ids")
+    candidates = c.hot_key_join(places, ids, "node")
+    contexts = materialize(_contexts(docs, candidates), "contexts")
+    c.release(docs.sparkSession)
+    components = c.connected_components(c.collision_edges(contexts.where("keys is not null").select("node", "keys")))
+    owned = c.hot_key_join(contexts.drop("keys"), components, "node", "left")
+    owned = materialize(owned.select("doc_id", "word", "passage", F.coalesce("component", "node").alias("component")), "owned_passages")
+    repeated = (owned.groupBy("component").agg(F.count("*").alias("n_copies"), F.min(F.struct("doc_id", "word")).alias("first"))
                 .where("n_copies > 1"))
-    return places.join(repeated, "node").select(
-        "doc_id", "word", "node", F.col("first.doc_id").alias("first_doc_id"), F.col("first.word").alias("first_word"), "n_copies",
+    return c.hot_key_join(owned, materialize(repeated, "repeated_passages"), "component").select(
+        "doc_id", "word", "passage", F.col("first.doc_id").alias("first_doc_id"), F.col("first.word").alias("first_word"), "n_copies",
         ((F.col("doc_id") != F.col("first.doc_id")) | (F.col("word") != F.col("first.word"))).alias("removed"))
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
-    """Every chosen passage that another place has too, wherever it lies in its line
-    or over lines: the columns of ``repeated_paragraphs``, where paragraph is the
+    """Every chosen passage that lies in a run of SHARED_WORDS words or more which
+    another place has too, wherever it lies in its line or over lines: the columns of ``repeated_paragraphs``, where paragraph is the
     number of its first word in the text (from 0).
 
     Every run of SHARED_WORDS words or more that two places share holds such a
-    passage. Null texts, null doc_ids, repeated doc_ids and empty tables are taken
+    passage, and no shorter run does. Null texts, null doc_ids, repeated doc_ids and empty tables are taken
     as in ``repeated_paragraphs``.
     """
     return _repeated_passages(docs).select(
@@ -296,14 +354,14 @@ def drop_repeated_units(docs: DataFrame, percent: int = 80, min_words: int = MIN
     left, cut out of ``text``; columns unchanged."""
     docs = materialize(drop_repeated_paragraphs(docs, percent, min_words), "without_lines")
     marked = (_repeated_passages(docs).groupBy(F.col("doc_id").alias("cut_id"))
-              .agg(F.collect_set(F.struct("word", "node", "removed")).alias("marked")))
+              .agg(F.collect_set(F.struct("word", "passage", "removed")).alias("marked")))
     rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text").join(marked, F.col("doc_id") == F.col("cut_id"), "left")
 
     def run(batches):
         for batch in batches:
             texts = []
             for text, places in zip(c.texts_of(batch), batch.column("marked").to_pylist()):
-                places = [(p["word"], p["node"], p["removed"]) for p in places or []]
+                places = [(p["word"], p["passage"], p["removed"]) for p in places or []]
                 texts.append((cut_passages(text, places) if places and text else text))
             row = batch.column("row")
             columns = {f.name: row.field(i) for i, f in enumerate(row.type)}

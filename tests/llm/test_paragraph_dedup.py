@@ -119,3 +119,51 @@ def test_overlapping_passages_keep_what_stays():
     marked = [(int(w), int(n), w != at[0]) for w, n in zip(at, ids)]
     kept = pd_.cut_passages(text, marked).split()
     assert kept[int(at[0]):int(at[0]) + pd_.PASSAGE_WORDS] == text.split()[int(at[0]):int(at[0]) + pd_.PASSAGE_WORDS]
+
+
+def test_runs_under_the_stated_length_are_left_alone(documents):
+    rng = random.Random(5)
+    line = lambda n: " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(n))
+    rows = []
+    for k in range(40):  # 40 pairs share 49 words, 40 share 50
+        for words in (49, 50):
+            run = line(words)
+            rows += [(len(rows), f"{line(80)} {run} {line(70)}"), (len(rows) + 1, f"{line(40)} {run} {line(90)}")]
+    found = {r.doc_id for r in pd_.repeated_passages(documents([(i, t, "en", "s") for i, t in rows])).collect()}
+    assert found == {i for i, _ in rows if i % 4 >= 2}
+
+
+@pytest.mark.parametrize("table", ["sf0.001", "planted"])
+def test_passages_against_all_runs(spark, documents, table):
+    """Precision: a reported passage lies in a run of 50 words that stands elsewhere too.
+    Recall: every such run, at every place, holds a reported passage."""
+    if table == "planted":
+        rng = random.Random(6)
+        pool = [" ".join(f"w{rng.randrange(400)}" for _ in range(rng.randrange(30, 120))) for _ in range(12)]
+        rows = [(i, " ".join(rng.choice(pool) if rng.random() < 0.5 else f"x{rng.random()}" for _ in range(8))) for i in range(60)]
+        df = documents([(i, t, "en", "s") for i, t in rows])
+    else:
+        df = spark.read.parquet(f"/root/testdata/{table}/documents.parquet")
+        rows = [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+    places = {}
+    for i, text in rows:
+        words = (text or "").encode().lower().split()
+        for s in range(len(words) - 49):
+            places.setdefault(tuple(words[s:s + 50]), []).append((i, s))
+    shared = {place for at in places.values() if len(at) > 1 for place in at}
+    got = {(r.doc_id, r.paragraph) for r in pd_.repeated_passages(df).collect()}
+    assert len(shared) > 100
+    assert all(any((i, s) in shared for s in range(w - 30, w + 1)) for i, w in got)
+    assert all(any((i, w) in got for w in range(s, s + 31)) for i, s in shared)
+
+
+def test_hot_keys_stay_where_they_lie(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(pd_.c, "LEAST_HOT_ROWS", 50)
+    rows = pd_.materialize(spark.range(1000).select(F.when(F.col("id") < 400, 7).otherwise(F.col("id")).alias("k"), "id"), "rows")
+    small = spark.range(0, 900, 2).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v")).union(spark.createDataFrame([(7, 14)], "k long, v long"))
+    key = lambda df: sorted(map(tuple, df.select("k", "id", "v").collect()), key=str)
+    for how in ("inner", "left"):
+        got = pd_.c.hot_key_join(rows, small, "k", how)
+        assert key(got) == key(rows.join(small, "k", how))
+        assert "BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()
