@@ -208,25 +208,24 @@ def passages_of(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
     return at, ids[at].view(np.int64)
 
 
-def contexts_of(text: bytes, at: np.ndarray) -> list[tuple[int, int, bytes]]:
-    """(first word, id, keys) of the passages at words ``at`` with what surrounds them:
+def contexts_of(words: np.ndarray, at: np.ndarray, with_keys: bool) -> tuple[np.ndarray, np.ndarray, list]:
+    """(which, ids, keys) of the passages at word numbers ``at`` with what surrounds them:
     a key for each run of SHARED_WORDS words that holds the passage, by its words and
     its place around it. Two passages share a key where they lie in a shared run,
     and an id where all their runs are equal. Passages in no such run are left out."""
-    words = c.word_hashes(c.words_of(text))
     if len(words) < SHARED_WORDS:
-        return []
+        return np.empty(0, np.int64), np.empty(0, np.int64), []
     runs = c.shingle_hashes(words, SHARED_WORDS)
-    out = []
-    for word in at.tolist():
-        first = max(0, word - SHARED_WORDS + PASSAGE_WORDS)
-        held = runs[first:word + 1]  # the last may start at the passage, if the text goes on
-        if word + PASSAGE_WORDS <= len(words) and len(held):
-            place = (word - first - np.arange(len(held))).astype(np.uint64)
-            keys = c.mix(held + place * np.uint64(0x9E3779B97F4A7C15))
-            node = c.mix(keys[:1] * np.uint64(3) + keys[-1:] * np.uint64(5) + np.uint64(len(held)))
-            out.append((word, int(node.view(np.int64)[0]), keys.tobytes()))
-    return out
+    first, last = np.maximum(0, at - SHARED_WORDS + PASSAGE_WORDS), np.minimum(at, len(runs) - 1)
+    which = np.flatnonzero(first <= last)
+    at, first, last = at[which], first[which], last[which]
+    ids = c.mix(c.mix(runs[first] + (at - first).astype(np.uint64)) + runs[last] * np.uint64(5) + (at - last).astype(np.uint64))
+    keys = []
+    if with_keys:
+        for word, a, b in zip(at.tolist(), first.tolist(), last.tolist()):
+            place = (word - np.arange(a, b + 1)).astype(np.uint64)
+            keys.append(c.mix(runs[a:b + 1] + place * np.uint64(0x9E3779B97F4A7C15)).tobytes())
+    return which, ids.view(np.int64), keys
 
 
 def _passages(docs: DataFrame) -> DataFrame:
@@ -243,41 +242,53 @@ def _passages(docs: DataFrame) -> DataFrame:
     return c.map_arrow(docs.select("doc_id", "text"), run, "doc_id long, word int, node long")
 
 
-def _contexts(docs: DataFrame, places: DataFrame) -> DataFrame:
+def _contexts(docs: DataFrame, places: DataFrame, with_keys: bool) -> DataFrame:
     """(doc_id, word, passage, node, keys) of the passages at ``places`` (doc_id, word,
-    node) that some run of SHARED_WORDS words holds; keys once a task and node."""
-    wanted = places.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("word", "node"))).alias("wanted"))
+    passage) that some run of SHARED_WORDS words holds; keys only if asked for."""
+    wanted = places.groupBy("doc_id").agg(F.collect_set(F.struct("word", "passage")).alias("wanted"))
     joined = docs.select("doc_id", "text").join(wanted, "doc_id")
 
     def run(batches):
-        seen = set()
         for batch in c.sliced(batches):
-            rows = []
-            for doc_id, text, asked in zip(batch.column("doc_id").to_pylist(), c.texts_of(batch), batch.column("wanted").to_pylist()):
-                at, ids = passages_of(text)
-                own = dict(zip(at.tolist(), ids.tolist()))  # another row of this doc_id may have chosen others
-                here = [w["word"] for w in asked if own.get(w["word"]) == w["node"]]
-                for word, node, keys in contexts_of(text, np.array(here, np.int64)) if here else []:
-                    rows.append((doc_id, word, own[word], node, None if node in seen else keys))
-                    seen.add(node)
-            if len(seen) > _SEEN:
-                seen.clear()
-            if rows:
-                yield c.record(_CONTEXTS, list(zip(*rows)))
+            asked = batch.column("wanted")
+            ends = asked.offsets.to_numpy()
+            flat = asked.values
+            numbers, passages = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(2))
+            out = []
+            for i, text in enumerate(c.texts_of(batch)):
+                words = c.word_hashes(c.words_of(text))
+                own = c.shingle_hashes(words, PASSAGE_WORDS).view(np.int64) if len(words) >= PASSAGE_WORDS else np.empty(0, np.int64)
+                at, passage = numbers[ends[i]:ends[i + 1]].astype(np.int64), passages[ends[i]:ends[i + 1]]
+                here = np.flatnonzero(at < len(own))  # another row of this doc_id may be shorter, or other
+                here = here[own[at[here]] == passage[here]]
+                which, ids, keys = contexts_of(words, at[here], with_keys)
+                if len(which):
+                    here = here[which]
+                    out.append((np.full(len(here), batch.column("doc_id")[i].as_py(), np.int64), at[here], passage[here], ids, keys))
+            if out:
+                *columns, keys = zip(*out)
+                doc_id, word, passage, ids = (np.concatenate(x) for x in columns)
+                keys = [k for part in keys for k in part] if with_keys else [None] * len(ids)
+                yield c.record(_CONTEXTS, [doc_id, word.astype(np.int32), passage, ids, pa.array(keys, pa.binary())])
 
     return c.map_arrow(joined, run, "doc_id long, word int, passage long, node long, keys binary")
 
 
 def _repeated_passages(docs: DataFrame) -> DataFrame:
     """(doc_id, word, passage, first_doc_id, first_word, n_copies, removed)."""
-    docs = docs.where("doc_id is not null")
-    places = materialize(_passages(docs), "passages")
-    ids = materialize(places.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node"), "repeated_ids")
-    candidates = c.hot_key_join(places, ids, "node")
-    contexts = materialize(_contexts(docs, candidates), "contexts")
-    c.release(docs.sparkSession)
-    components = c.connected_components(c.collision_edges(contexts.where("keys is not null").select("node", "keys")))
-    owned = c.hot_key_join(contexts.drop("keys"), components, "node", "left")
+    spark, docs = docs.sparkSession, docs.where("doc_id is not null")
+    places = materialize(_passages(docs).withColumnRenamed("node", "passage"), "passages")
+    ids = materialize(places.groupBy("passage").agg(F.count("*").alias("n")).where("n > 1").select("passage"), "repeated_ids")
+    contexts = materialize(_contexts(docs, c.hot_key_join(places, ids, "passage"), False).drop("keys"), "contexts")
+    c.release(spark)
+    # Passages whose places all have one context need no keys; of the others, one place of each context has them.
+    kinds = materialize(contexts.groupBy("passage", "node").agg(F.min(F.struct("doc_id", "word")).alias("at"))
+                        .select("passage", "node", "at.*"), "context_kinds")
+    several = materialize(kinds.groupBy("passage").agg(F.count("*").alias("n")).where("n > 1").select("passage"), "several")
+    keyed = _contexts(docs, c.hot_key_join(kinds, several, "passage").select("doc_id", "word", "passage"), True)
+    components = c.connected_components(c.collision_edges(keyed.select("node", "keys")))
+    c.release(spark)
+    owned = c.hot_key_join(contexts, components, "node", "left")
     owned = materialize(owned.select("doc_id", "word", "passage", F.coalesce("component", "node").alias("component")), "owned_passages")
     repeated = (owned.groupBy("component").agg(F.count("*").alias("n_copies"), F.min(F.struct("doc_id", "word")).alias("first"))
                 .where("n_copies > 1"))
