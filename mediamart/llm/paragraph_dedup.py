@@ -180,9 +180,8 @@ def repeated_paragraphs(docs: DataFrame, percent: int = 80, min_words: int = MIN
     return out.withColumn("removed", (F.col("doc_id") != F.col("first_doc_id")) | (F.col("paragraph") != F.col("first_paragraph")))
 
 
-_PASSAGES = pa.schema([("doc_id", pa.int64()), ("word", pa.int32()), ("node", pa.int64())])
-_CONTEXTS = pa.schema([("doc_id", pa.int64()), ("word", pa.int32()), ("passage", pa.int64()), ("node", pa.int64()),
-                       ("keys", pa.binary())])
+_PASSAGES = pa.schema([("doc_id", pa.int64()), ("word", pa.int32()), ("passage", pa.int64()), ("node", pa.int64())])
+_KEYED = pa.schema([("node", pa.int64()), ("keys", pa.binary())])
 
 
 def _sliding(x: np.ndarray, span: int, low) -> np.ndarray:
@@ -194,12 +193,11 @@ def _sliding(x: np.ndarray, span: int, low) -> np.ndarray:
     return low(x[:len(x) - rest], x[rest:]) if rest else x
 
 
-def passages_of(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
-    """(first words, ids) of the passages of a text that its content chooses."""
-    words = c.words_of(text)
+def chosen_passages(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first words, ids) of the passages that a text's content chooses, from its word hashes."""
     if len(words) < PASSAGE_WORDS:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    ids = c.shingle_hashes(c.word_hashes(words), PASSAGE_WORDS)
+    ids = c.shingle_hashes(words, PASSAGE_WORDS)
     order = c.mix(ids ^ np.uint64(0x5851F42D4C957F2D))  # another hash than the id, whose bits stay even
     span = min(SHARED_WORDS - PASSAGE_WORDS + 1, len(ids))
     lows = _sliding(order, span, np.minimum)
@@ -208,85 +206,92 @@ def passages_of(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
     return at, ids[at].view(np.int64)
 
 
-def contexts_of(words: np.ndarray, at: np.ndarray, with_keys: bool) -> tuple[np.ndarray, np.ndarray, list]:
-    """(which, ids, keys) of the passages at word numbers ``at`` with what surrounds them:
-    a key for each run of SHARED_WORDS words that holds the passage, by its words and
-    its place around it. Two passages share a key where they lie in a shared run,
-    and an id where all their runs are equal. Passages in no such run are left out."""
-    if len(words) < SHARED_WORDS:
-        return np.empty(0, np.int64), np.empty(0, np.int64), []
+def passages_of(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
+    """(first words, ids) of the passages of a text that its content chooses."""
+    return chosen_passages(c.word_hashes(c.words_of(text)))
+
+
+def contexts_of(words: np.ndarray, at: np.ndarray, with_keys: bool = False) -> tuple[np.ndarray, list]:
+    """(ids, keys) of the passages at word numbers ``at`` with what surrounds them, in a
+    text of SHARED_WORDS words or more: a key for each run of SHARED_WORDS words that
+    holds the passage, by its words and its place around it (only if asked for). Two
+    passages share a key where they lie in a shared run, and an id where all their
+    runs are equal."""
     runs = c.shingle_hashes(words, SHARED_WORDS)
     first, last = np.maximum(0, at - SHARED_WORDS + PASSAGE_WORDS), np.minimum(at, len(runs) - 1)
-    which = np.flatnonzero(first <= last)
-    at, first, last = at[which], first[which], last[which]
     ids = c.mix(c.mix(runs[first] + (at - first).astype(np.uint64)) + runs[last] * np.uint64(5) + (at - last).astype(np.uint64))
     keys = []
     if with_keys:
-        for word, a, b in zip(at.tolist(), first.tolist(), last.tolist()):
-            place = (word - np.arange(a, b + 1)).astype(np.uint64)
-            keys.append(c.mix(runs[a:b + 1] + place * np.uint64(0x9E3779B97F4A7C15)).tobytes())
-    return which, ids.view(np.int64), keys
+        each = last - first + 1
+        ends = np.cumsum(each)
+        run = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - each, each) + np.repeat(first, each)
+        place = (np.repeat(at, each) - run).astype(np.uint64)
+        flat = c.mix(runs[run] + place * np.uint64(0x9E3779B97F4A7C15)).tobytes()
+        keys = [flat[8 * (b - n):8 * b] for b, n in zip(ends.tolist(), each.tolist())]
+    return ids.view(np.int64), keys
 
 
 def _passages(docs: DataFrame) -> DataFrame:
+    """(doc_id, word, passage, node): every chosen passage and the id of its context.
+    A text of fewer than SHARED_WORDS words shares no run of that length."""
     def run(batches):
         for batch in batches:
             for part in c.sliced([batch]):
-                found = [passages_of(t) for t in c.texts_of(part)]
-                each = [len(at) for at, _ in found]
-                if sum(each):
-                    ids = np.repeat(part.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64), each)
-                    at, node = (np.concatenate(x) for x in zip(*found))
-                    yield c.record(_PASSAGES, [ids, at.astype(np.int32), node])
+                found, ids = [], part.column("doc_id").to_pylist()
+                for doc_id, text in zip(ids, c.texts_of(part)):
+                    words = c.words_of(text)
+                    if len(words) >= SHARED_WORDS:
+                        hashed = c.word_hashes(words)
+                        at, passage = chosen_passages(hashed)
+                        found.append((np.full(len(at), doc_id, np.int64), at.astype(np.int32), passage, contexts_of(hashed, at)[0]))
+                if found:
+                    yield c.record(_PASSAGES, [np.concatenate(x) for x in zip(*found)])
 
-    return c.map_arrow(docs.select("doc_id", "text"), run, "doc_id long, word int, node long")
+    return c.map_arrow(docs.select("doc_id", "text"), run, "doc_id long, word int, passage long, node long")
 
 
-def _contexts(docs: DataFrame, places: DataFrame, with_keys: bool) -> DataFrame:
-    """(doc_id, word, passage, node, keys) of the passages at ``places`` (doc_id, word,
-    passage) that some run of SHARED_WORDS words holds; keys only if asked for."""
-    wanted = places.groupBy("doc_id").agg(F.collect_set(F.struct("word", "passage")).alias("wanted"))
-    joined = docs.select("doc_id", "text").join(wanted, "doc_id")
+def _keyed(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """(node, keys) of the contexts at ``places`` (doc_id, word, passage, node)."""
+    wanted = places.groupBy("doc_id").agg(F.collect_set(F.struct("word", "passage", "node")).alias("wanted"))
+    joined = docs.select("doc_id", "text").join(wanted, "doc_id").select("text", "wanted")
 
     def run(batches):
         for batch in c.sliced(batches):
             asked = batch.column("wanted")
             ends = asked.offsets.to_numpy()
-            flat = asked.values
-            numbers, passages = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(2))
-            out = []
+            numbers, passages, nodes = (asked.values.field(i).to_numpy(zero_copy_only=False) for i in range(3))
+            out, keys = [], []
             for i, text in enumerate(c.texts_of(batch)):
                 words = c.word_hashes(c.words_of(text))
-                own = c.shingle_hashes(words, PASSAGE_WORDS).view(np.int64) if len(words) >= PASSAGE_WORDS else np.empty(0, np.int64)
-                at, passage = numbers[ends[i]:ends[i + 1]].astype(np.int64), passages[ends[i]:ends[i + 1]]
-                here = np.flatnonzero(at < len(own))  # another row of this doc_id may be shorter, or other
-                here = here[own[at[here]] == passage[here]]
-                which, ids, keys = contexts_of(words, at[here], with_keys)
-                if len(which):
-                    here = here[which]
-                    out.append((np.full(len(here), batch.column("doc_id")[i].as_py(), np.int64), at[here], passage[here], ids, keys))
-            if out:
-                *columns, keys = zip(*out)
-                doc_id, word, passage, ids = (np.concatenate(x) for x in columns)
-                keys = [k for part in keys for k in part] if with_keys else [None] * len(ids)
-                yield c.record(_CONTEXTS, [doc_id, word.astype(np.int32), passage, ids, pa.array(keys, pa.binary())])
-
-    return c.map_arrow(joined, run, "doc_id long, word int, passage long, node long, keys binary")
+                if len(words) < SHARED_WORDS:  # another row of this doc_id
+                    continue
+                own = c.shingle_hashes(words, PASSAGE_WORDS).view(np.int64)
+                here = slice(ends[i], ends[i + 1])
+                at, passage, node = numbers[here].astype(np.int64), passages[here], nodes[here]
+                on = np.flatnonzero(at < len(own))  # another row of this doc_id may be shorter, or other
+                on = on[own[at[on]] == passage[on]]
+                ids, found = contexts_of(words, at[on], True)
+                same = ids == node[on]
+                out.append(ids[same])
+                keys += [k for k, ok in zip(found, same.tolist()) if ok]
+            if keys:
+                yield c.record(_KEYED, [np.concatenate(out), pa.array(keys, pa.binary())])
+
+    return c.map_arrow(joined, run, "node long, keys binary")
 
 
 def _repeated_passages(docs: DataFrame) -> DataFrame:
     """(doc_id, word, passage, first_doc_id, first_word, n_copies, removed)."""
     spark, docs = docs.sparkSession, docs.where("doc_id is not null")
-    places = materialize(_passages(docs).withColumnRenamed("node", "passage"), "passages")
-    ids = materialize(places.groupBy("passage").agg(F.count("*").alias("n")).where("n > 1").select("passage"), "repeated_ids")
-    contexts = materialize(_contexts(docs, c.hot_key_join(places, ids, "passage"), False).drop("keys"), "contexts")
-    c.release(spark)
+    places = materialize(_passages(docs), "passages")
     # Passages whose places all have one context need no keys; of the others, one place of each context has them.
-    kinds = materialize(contexts.groupBy("passage", "node").agg(F.min(F.struct("doc_id", "word")).alias("at"))
-                        .select("passage", "node", "at.*"), "context_kinds")
-    several = materialize(kinds.groupBy("passage").agg(F.count("*").alias("n")).where("n > 1").select("passage"), "several")
-    keyed = _contexts(docs, c.hot_key_join(kinds, several, "passage").select("doc_id", "word", "passage"), True)
-    components = c.connected_components(c.collision_edges(keyed.select("node", "keys")))
+    ids = materialize(places.groupBy("passage").agg(F.count("*").alias("n"), (F.min("node") < F.max("node")).alias("several"))
+                      .where("n > 1").select("passage", "several"), "repeated_ids")
+    contexts = materialize(c.hot_key_join(places, ids, "passage"), "contexts")
+    c.release(spark)
+    kinds = contexts.where("several").groupBy("passage", "node").agg(F.min(F.struct("doc_id", "word")).alias("at"))
+    keyed = _keyed(docs, kinds.select("at.*", "passage", "node"))
+    components = c.connected_components(c.collision_edges(keyed))
     c.release(spark)
     owned = c.hot_key_join(contexts, components, "node", "left")
     owned = materialize(owned.select("doc_id", "word", "passage", F.coalesce("component", "node").alias("component")), "owned_passages")
