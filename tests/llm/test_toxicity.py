@@ -56,6 +56,38 @@ def test_risk_gradient_is_the_slope():
     assert abs(b - per.sum()) < 1e-12
 
 
+def test_features_are_chosen_over_all_documents(documents, spark, monkeypatch):
+    """Counts and ranks against a plain count of every document; the bounds of the fit do not matter."""
+    monkeypatch.setattr(tx, "_FLUSH", 300)
+    rows, marks = corpus(600, 4)
+    rows = [(i, t + (" slur" if m else ""), *x) for (i, t, *x), m in zip(rows, (random.Random(i).random() < 0.04 for i in range(600)))]
+    rows += [rows[5], (700, None, "en", "s"), (701, "", "en", "s"), (702, "long " * 50_000 + "tail", "en", "s")]
+    docs = documents(rows)
+    marked = docs.where("text like '%vile%' or text like '%slur%'")
+    every = {}
+    for _, text, *_ in rows:
+        for f in tx.features(text).tolist():
+            every[f] = every.get(f, 0) + 1
+    got = {r.feature: r.n for r in tx.feature_counts(docs).collect()}
+    assert got.pop(tx._ROWS) == len(rows) and got == every
+    toxic = [t for _, t, *_ in rows if t and ("vile" in t or "slur" in t)]
+    inside = {}
+    for text in toxic:
+        for f in tx.features(text).tolist():
+            inside[f] = inside.get(f, 0) + 1
+
+    def part(k, n):
+        return k * np.log(max(k / n, 1e-12)) + (n - k) * np.log(max(1 - k / n, 1e-12))
+
+    n, m = len(toxic), len(rows)
+    ratio = {f: 2 * (part(inside.get(f, 0), n) + part(b, m) - part(inside.get(f, 0) + b, n + m)) for f, b in every.items()}
+    want = sorted(f for f, x in ratio.items() if x >= tx.MIN_ASSOCIATION)
+    assert tx.associated(marked, docs).tolist() == want and tx.features("vile")[0] in want
+    assert tx.associated(marked, docs, 1).tolist() == [max(ratio, key=lambda f: (ratio[f], -f))]
+    labelled = labels(spark, [(i, 1, int("vile" in (t or ""))) for i, t, *_ in rows[:600]])
+    assert tx.learn(docs, labelled, max_positive=3, max_unlabelled=9).known.tolist() == tx.learn(docs, labelled).known.tolist()
+
+
 def test_edges(documents, spark):
     marks = [(0, 1, 1), (1, 1, 0), (2, None, None), (None, 1, 1), (99, 1, 1)]
     rows = [(0, "bad words", "en", "s"), (1, None, "en", "s"), (2, "", "en", "s"), (None, "x", "en", "s"), (0, "bad words", "en", "s")]
