@@ -85,13 +85,10 @@ def shingle_hashes(w: np.ndarray, k: int = SHINGLE_WORDS) -> np.ndarray:
     if n == 0:
         return w
     k = min(k, n)
-    power = lambda m: np.uint64(pow(int(_FOLD), m, 1 << 64))
-    h, width = w, 1  # sums of w[i + j] * _FOLD ** (width - 1 - j), doubled and lengthened by the bits of k
-    for bit in bin(k)[3:]:
-        h, width = h[:n - 2 * width + 1] * power(width) + h[width:], 2 * width
-        if bit == "1":
-            h, width = h[:n - width] * _FOLD + w[width:], width + 1
-    return mix(h + np.uint64(k * pow(int(_FOLD), k - 1, 1 << 64) % (1 << 64)))
+    h = w[: n - k + 1] + np.uint64(k)
+    for j in range(1, k):
+        h = h * _FOLD + w[j: n - k + 1 + j]
+    return mix(h)
 
 
 def shingle_set(text: bytes | None, k: int = SHINGLE_WORDS) -> np.ndarray:

@@ -38,6 +38,7 @@ MIN_WORDS = 10
 PASSAGE_WORDS, SHARED_WORDS = 20, 50
 BANDS, ROWS = 16, 4
 _SEEN = 1 << 17
+_FOLD = 0xD6E8FEB86659FD93
 _PARAGRAPHS = pa.schema([("doc_id", pa.int64()), ("paragraph", pa.int32()), ("n_words", pa.int32()),
                          ("node", pa.int64()), ("keys", pa.binary())])
 
@@ -184,6 +185,19 @@ _PASSAGES = pa.schema([("doc_id", pa.int64()), ("word", pa.int32()), ("passage",
 _KEYED = pa.schema([("node", pa.int64()), ("keys", pa.binary())])
 
 
+def run_hashes(words: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of the ``k`` words from each place on, from word hashes (``k`` or more).
+
+    Sums of words[i + j] * _FOLD ** (k - 1 - j), doubled and lengthened by the bits of k:
+    some 2 log2(k) steps instead of k."""
+    n, h, width = len(words), words, 1
+    for bit in bin(k)[3:]:
+        h, width = h[:n - 2 * width + 1] * np.uint64(pow(_FOLD, width, 1 << 64)) + h[width:], 2 * width
+        if bit == "1":
+            h, width = h[:n - width] * np.uint64(_FOLD) + words[width:], width + 1
+    return c.mix(h)
+
+
 def _sliding(x: np.ndarray, span: int, low) -> np.ndarray:
     """``low`` (minimum or maximum) of every ``span`` consecutive values."""
     width = 1
@@ -197,7 +211,7 @@ def chosen_passages(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(first words, ids) of the passages that a text's content chooses, from its word hashes."""
     if len(words) < PASSAGE_WORDS:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    ids = c.shingle_hashes(words, PASSAGE_WORDS)
+    ids = run_hashes(words, PASSAGE_WORDS)
     order = c.mix(ids ^ np.uint64(0x5851F42D4C957F2D))  # another hash than the id, whose bits stay even
     span = min(SHARED_WORDS - PASSAGE_WORDS + 1, len(ids))
     lows = _sliding(order, span, np.minimum)
@@ -217,7 +231,7 @@ def contexts_of(words: np.ndarray, at: np.ndarray, with_keys: bool = False) -> t
     holds the passage, by its words and its place around it (only if asked for). Two
     passages share a key where they lie in a shared run, and an id where all their
     runs are equal."""
-    runs = c.shingle_hashes(words, SHARED_WORDS)
+    runs = run_hashes(words, SHARED_WORDS)
     first, last = np.maximum(0, at - SHARED_WORDS + PASSAGE_WORDS), np.minimum(at, len(runs) - 1)
     ids = c.mix(c.mix(runs[first] + (at - first).astype(np.uint64)) + runs[last] * np.uint64(5) + (at - last).astype(np.uint64))
     keys = []
@@ -265,7 +279,7 @@ def _keyed(docs: DataFrame, places: DataFrame) -> DataFrame:
                 words = c.word_hashes(c.words_of(text))
                 if len(words) < SHARED_WORDS:  # another row of this doc_id
                     continue
-                own = c.shingle_hashes(words, PASSAGE_WORDS).view(np.int64)
+                own = run_hashes(words, PASSAGE_WORDS).view(np.int64)
                 here = slice(ends[i], ends[i + 1])
                 at, passage, node = numbers[here].astype(np.int64), passages[here], nodes[here]
                 on = np.flatnonzero(at < len(own))  # another row of this doc_id may be shorter, or other
@@ -355,7 +369,7 @@ def cut_passages(text: bytes, marked: list[tuple[int, int, bool]]) -> bytes:
     """The text without its removed passages (word, node, removed); the words of
     those that stay are kept, also where a removed one overlaps them."""
     words = c.words_of(text)
-    ids = c.shingle_hashes(c.word_hashes(words), PASSAGE_WORDS).view(np.int64) if len(words) >= PASSAGE_WORDS else []
+    ids = run_hashes(c.word_hashes(words), PASSAGE_WORDS).view(np.int64) if len(words) >= PASSAGE_WORDS else []
     cut = np.zeros(len(words) + 1, bool)
     for goes in (True, False):
         for word, node, removed in marked:

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from mediamart.llm import paragraph_dedup as pd_
@@ -157,6 +158,14 @@ def test_passages_against_all_runs(spark, documents, table):
     assert all(any((i, w) in got for w in range(s, s + 31)) for i, s in shared)
 
 
+def test_run_hashes_are_those_of_each_run():
+    rng = np.random.default_rng(2)
+    words = rng.integers(0, 1 << 63, 120, dtype=np.uint64)
+    for k in (1, 2, 5, 20, 50, 120):
+        sums = [sum(int(words[i + j]) * pd_._FOLD ** (k - 1 - j) for j in range(k)) % (1 << 64) for i in range(120 - k + 1)]
+        assert pd_.run_hashes(words, k).tolist() == pd_.c.mix(np.array(sums, np.uint64)).tolist()
+
+
 def test_hot_keys_stay_where_they_lie(spark, monkeypatch):
     from pyspark.sql import functions as F
     monkeypatch.setattr(pd_.c, "LEAST_HOT_ROWS", 50)
