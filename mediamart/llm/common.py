@@ -173,16 +173,21 @@ def groups(batches, keys: list[str]):
 LEAST_HOT_ROWS, MOST_HOT_KEYS = 1_000, 20_000
 
 
-def hot_key_join(rows: DataFrame, small: DataFrame, key: str, how: str = "inner") -> DataFrame:
+def hot_key_join(rows: DataFrame, small: DataFrame, key: str, how: str = "inner", counted: str | None = None) -> DataFrame:
     """``rows.join(small, key, how)`` (inner or left) where ``small`` has one row a key and
-    a key may hold a third of all ``rows``, a written table.
+    a key may hold a third of all ``rows``, a written table. ``counted`` names the column of
+    ``small``, then a written table too, that tells how many rows have the key; else they
+    are counted here.
 
     Keys of more than LEAST_HOT_ROWS rows, and of more than 1 / MOST_HOT_KEYS of them,
     are MOST_HOT_KEYS at most: their rows stay where they lie and meet a broadcast
     of those keys. All others are joined by a shuffle, in which no key is hot.
     """
     least = max(LEAST_HOT_ROWS, rows.count() // MOST_HOT_KEYS)
-    hot = materialize(rows.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > least).select(key), "hot_keys")
+    if counted:
+        hot = small.where(F.col(counted) > least).select(key)
+    else:
+        hot = materialize(rows.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > least).select(key), "hot_keys")
     if hot.isEmpty():
         return rows.join(small, key, how)
     hot = F.broadcast(hot)

@@ -175,7 +175,7 @@ def repeated_paragraphs(docs: DataFrame, percent: int = 80, min_words: int = MIN
     owned = c.hot_key_join(places, components, "node", "left").withColumn("component", F.coalesce("component", "node"))
     owned = materialize(owned.select("doc_id", "paragraph", "n_words", "component"), "owned")
     repeated = owned.groupBy("component").agg(F.count("*").alias("n_copies"), F.min(F.struct("doc_id", "paragraph")).alias("first")).where("n_copies > 1")
-    out = c.hot_key_join(owned, materialize(repeated, "repeated"), "component").select(
+    out = c.hot_key_join(owned, materialize(repeated, "repeated"), "component", counted="n_copies").select(
         "doc_id", "paragraph", "n_words", F.col("first.doc_id").alias("first_doc_id"),
         F.col("first.paragraph").alias("first_paragraph"), "n_copies")
     return out.withColumn("removed", (F.col("doc_id") != F.col("first_doc_id")) | (F.col("paragraph") != F.col("first_paragraph")))
@@ -300,18 +300,19 @@ def _repeated_passages(docs: DataFrame) -> DataFrame:
     places = materialize(_passages(docs), "passages")
     # Passages whose places all have one context need no keys; of the others, one place of each context has them.
     ids = materialize(places.groupBy("passage").agg(F.count("*").alias("n"), (F.min("node") < F.max("node")).alias("several"))
-                      .where("n > 1").select("passage", "several"), "repeated_ids")
-    contexts = materialize(c.hot_key_join(places, ids, "passage"), "contexts")
+                      .where("n > 1"), "repeated_ids")
+    contexts = materialize(c.hot_key_join(places, ids, "passage", counted="n").drop("n"), "contexts")
     c.release(spark)
-    kinds = contexts.where("several").groupBy("passage", "node").agg(F.min(F.struct("doc_id", "word")).alias("at"))
+    mixed, plain = materialize(contexts.where("several"), "mixed"), contexts.where("not several")
+    kinds = mixed.groupBy("passage", "node").agg(F.min(F.struct("doc_id", "word")).alias("at"))
     keyed = _keyed(docs, kinds.select("at.*", "passage", "node"))
     components = c.connected_components(c.collision_edges(keyed))
     c.release(spark)
-    owned = c.hot_key_join(contexts, components, "node", "left")
-    owned = materialize(owned.select("doc_id", "word", "passage", F.coalesce("component", "node").alias("component")), "owned_passages")
+    owned = c.hot_key_join(mixed, components, "node", "left").select("doc_id", "word", "passage", F.coalesce("component", "node").alias("component"))
+    owned = materialize(owned.union(plain.select("doc_id", "word", "passage", "node")), "owned_passages")
     repeated = (owned.groupBy("component").agg(F.count("*").alias("n_copies"), F.min(F.struct("doc_id", "word")).alias("first"))
                 .where("n_copies > 1"))
-    return c.hot_key_join(owned, materialize(repeated, "repeated_passages"), "component").select(
+    return c.hot_key_join(owned, materialize(repeated, "repeated_passages"), "component", counted="n_copies").select(
         "doc_id", "word", "passage", F.col("first.doc_id").alias("first_doc_id"), F.col("first.word").alias("first_word"), "n_copies",
         ((F.col("doc_id") != F.col("first.doc_id")) | (F.col("word") != F.col("first.word"))).alias("removed"))
 

@@ -173,6 +173,7 @@ def test_hot_keys_stay_where_they_lie(spark, monkeypatch):
     small = spark.range(0, 900, 2).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v")).union(spark.createDataFrame([(7, 14)], "k long, v long"))
     key = lambda df: sorted(map(tuple, df.select("k", "id", "v").collect()), key=str)
     for how in ("inner", "left"):
-        got = pd_.c.hot_key_join(rows, small, "k", how)
-        assert key(got) == key(rows.join(small, "k", how))
-        assert "BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()
+        counted = pd_.materialize(small.join(rows.groupBy("k").count(), "k", "left"), "counted")
+        for got in (pd_.c.hot_key_join(rows, small, "k", how), pd_.c.hot_key_join(rows, counted, "k", how, counted="count")):
+            assert key(got) == key(rows.join(small, "k", how))
+            assert "BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()
