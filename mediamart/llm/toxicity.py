@@ -174,7 +174,7 @@ def learn(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
     docs = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull() & ~held_out())
     marked = labels.select("doc_id", "toxic").where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out())
     prior = marked.agg(F.avg((F.col("toxic") == 1).cast("double")).alias("p")).first()["p"] or 0.0
-    toxic = marked.where("toxic = 1").select("doc_id").distinct()
+    toxic = materialize(marked.where("toxic = 1").select("doc_id").distinct(), "toxic_ids")  # a table: the planner sees its size
     positive = _sample(docs, toxic, max_positive, 1)
     unlabelled = _sample(docs, docs.select("doc_id"), max_unlabelled, 2)
     if not positive or not unlabelled:
