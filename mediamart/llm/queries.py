@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from mediamart.llm import (decontaminate, fingerprints, language_id, license_scan, mixing, near_dup, paragraph_dedup,
                            repetition, secret_scan, sharding, spelling, suffix_dedup, toxicity)
 from mediamart.llm.common import table
-from mediamart.llm.oracle_sql import NEAR_SQL, SPELLING_SQL
+from mediamart.llm.oracle_sql import NEAR_SQL, RUNS_SQL, SPELLING_SQL
 
 
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,4 +133,5 @@ SELECT doc_id, text, lang, source, n_chars, unnest(generate_series(1, copies::BI
 FROM k WHERE copies > 0
 """
 
-ORACLE: dict[str, str] = {"op1_near_duplicates": NEAR_SQL, "op9_mixing": MIXING_SQL, "op13_spelling_variants": SPELLING_SQL}
+ORACLE: dict[str, str] = {"op1_near_duplicates": NEAR_SQL, "op9_mixing": MIXING_SQL, "op11_periodic_runs": RUNS_SQL,
+                          "op13_spelling_variants": SPELLING_SQL}

@@ -4,7 +4,7 @@ import pytest
 from mediamart.llm.queries import ORACLE, QUERIES
 
 
-@pytest.mark.parametrize("name", ["op1_near_duplicates", "op13_spelling_variants"])
+@pytest.mark.parametrize("name", ["op1_near_duplicates", "op11_periodic_runs", "op13_spelling_variants"])
 def test_rows_equal_those_of_the_sql(spark, name):
     folder = "/root/testdata/sf0.001"
     con = duckdb.connect()
