@@ -3,9 +3,11 @@
 A fact has four keys and can be partitioned by one. Here it is bucketed by a
 ``slot`` that follows the user key, and every dimension is written where the fact
 rows that need it lie: users, which are many, once in their slot (once in each of
-its slots for a user whose events are split), and the others in every slot. All
-four joins are then on (slot, key) between tables bucketed and sorted alike: no
-side is exchanged, and the rows of a hot movie or place are spread with the users.
+its slots for a user whose events are split), and the others in the slots whose fact
+rows name them, so their copies are no more than the fact's rows, however many slots
+there are. All four joins are then on (slot, key) between tables bucketed and sorted
+alike: no side is exchanged, and the rows of a hot movie or place are spread with the
+users.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from ..session import materialize
 
 SLOT = "slot"
 KEYS = {"fact": "userKey", "users": "userKey", "movies": "movieKey", "locations": "locationKey", "hours": "dateKey"}
+FACT_KEYS = {"movies": "videoKey", "locations": "locationKey", "hours": "dateKey"}
 
 
 @dataclass
@@ -45,7 +48,8 @@ def write_bucketed_star(fact: DataFrame, users: DataFrame, movies: DataFrame, lo
 
     ``fact`` must be a repeatable read (a written table), since a row's place
     decides the slot of a hot user's event. Rows without a user key, which an
-    inner join drops, lie in slots by their place.
+    inner join drops, lie in slots by their place. Movies, places and hours that no
+    fact row names lie in one slot each, so that every row of a dimension is there.
     """
     spark = fact.sparkSession
     number = F.array(*[F.lit(s) for s in slots(spark, buckets)])
@@ -54,19 +58,24 @@ def write_bucketed_star(fact: DataFrame, users: DataFrame, movies: DataFrame, lo
     hot = materialize(hot_keys(fact.where("userKey IS NOT NULL"), ["userKey"], hot_rows), "hot-users")
     parts = F.coalesce(F.col("_parts"), F.lit(1))
     place = F.xxhash64(F.monotonically_increasing_id())
-    slotted = {
-        "fact": fact.withColumn("_place", place).join(hot, "userKey", "left")
-                    .withColumn(SLOT, at(F.when(F.col("userKey").isNull(), F.col("_place")).otherwise(home + F.pmod("_place", parts)))),
-        "users": users.join(hot, "userKey", "left")
-                      .withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.least(parts, F.lit(buckets)) - 1)))
-                      .withColumn(SLOT, at(home + F.col("_part"))),
-        **{name: df.withColumn(SLOT, F.explode(number)) for name, df in (("movies", movies), ("locations", locations), ("hours", hours))}}
-    written = {}
-    for name, df in slotted.items():
+    written: dict[str, str] = {}
+
+    def write(name: str, df: DataFrame) -> None:
         written[name] = f"{prefix}_{name}"
         (df.drop("_place", "_parts", "_part").repartition(buckets, SLOT)
            .write.bucketBy(buckets, SLOT).sortBy(SLOT, KEYS[name])
            .option("path", f"{root}/{name}").mode("overwrite").saveAsTable(written[name]))
+
+    write("fact", fact.withColumn("_place", place).join(hot, "userKey", "left")
+                      .withColumn(SLOT, at(F.when(F.col("userKey").isNull(), F.col("_place")).otherwise(home + F.pmod("_place", parts)))))
+    write("users", users.join(hot, "userKey", "left")
+                        .withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.least(parts, F.lit(buckets)) - 1)))
+                        .withColumn(SLOT, at(home + F.col("_part"))))
+    placed = spark.table(written["fact"])
+    for name, df in (("movies", movies), ("locations", locations), ("hours", hours)):
+        key = KEYS[name]
+        needed = placed.select(SLOT, F.col(FACT_KEYS[name]).alias(key)).distinct()
+        write(name, df.join(needed, key, "left").withColumn(SLOT, F.coalesce(SLOT, at(F.xxhash64(key)))))
     return BucketedStar(written)
 
 

@@ -1,6 +1,7 @@
 """The bucketed star: same rows as the plain wide view, and no exchange at all."""
 
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -52,6 +53,21 @@ def test_a_hot_user_is_spread_over_buckets(spark, star):
     assert per.where("n <= 5 AND slots > 1").count() == 0
 
 
+def test_dimensions_are_copied_into_the_slots_that_name_them_only(spark, star):
+    root = scratch_path(spark, "copies")
+    written = write_bucketed_star(*star, root, f"c{root[-12:]}", 40).tables
+    fact = spark.table(written["fact"])
+    for name, key, fact_key, whole in (("movies", "movieKey", "videoKey", star[2]), ("locations", "locationKey", "locationKey", star[3]),
+                                       ("hours", "dateKey", "dateKey", star[4])):
+        named = {tuple(r) for r in fact.select("slot", fact_key).distinct().collect()}
+        known = Counter(r[0] for r in whole.select(key).collect())
+        asked = {k for _, k in named}
+        places = [tuple(r) for r in spark.table(written[name]).select("slot", key).collect()]
+        # A row lies in each slot that names it; one that no slot names lies in one.
+        assert Counter(p for p in places if p[1] in asked) == Counter({p: known[p[1]] for p in named if p[1] in known})
+        assert Counter(p[1] for p in places if p[1] not in asked) == Counter({k: n for k, n in known.items() if k not in asked})
+
+
 @pytest.mark.parametrize("buckets", [1, 7, 64])
 def test_slots_fill_every_bucket(spark, buckets):
     found = spark.createDataFrame([(s,) for s in slots(spark, buckets)], "slot int")
