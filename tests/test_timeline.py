@@ -116,3 +116,14 @@ def test_sweep_does_not_grow_with_days_times_intervals(spark):
         if "Join" in node.nodeName() and node.metrics().contains("numOutputRows"):
             joined.append(node.metrics().apply("numOutputRows").value())
     assert joined and max(joined) <= 105_000
+
+
+def test_a_usual_user_has_a_summary_row_a_month_not_one_an_hour(spark):
+    from mediamart.operators import dims
+    rows = [(dt.datetime(2024, 1, 1 + h // 24, h % 24), 7, "a", "b", "F", "NA", ("free", "paid")[h % 3 == 0], 1) for h in range(200)]
+    w = spark.createDataFrame(rows, "ts timestamp_ntz, userId long, firstName string, lastName string, gender string, "
+                                    "dateOfBirth string, level string, registration long")
+    plan = dims.user_level_changes(w)._jdf.queryExecution().optimizedPlan().toString()
+    assert "date_trunc(month" in plan and "date_trunc(hour" not in plan
+    by_hour = dims.user_level_changes(w, "hour")
+    assert sorted(map(tuple, dims.user_level_changes(w).collect())) == sorted(map(tuple, by_hour.collect()))
