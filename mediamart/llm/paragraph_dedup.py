@@ -58,17 +58,20 @@ def class_id(words: list[bytes]) -> int:
 
 def line_signatures(hasher: c.MinHash, lines: list[list[bytes]]) -> np.ndarray:
     """MinHash signatures of many lines (each of five words or more) at once."""
+    return _signatures(hasher, c.word_hashes([w for words in lines for w in words]), np.array([len(w) for w in lines]))
+
+
+def _signatures(hasher: c.MinHash, hashed: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The same from the hashes of all words and the number of words of each line."""
     k = c.SHINGLE_WORDS
-    counts = np.array([len(w) for w in lines])
-    hashed = c.word_hashes([w for words in lines for w in words])
     ends = np.cumsum(counts)
     inside = np.ones(len(hashed), bool)  # shingles that do not run into the next line
     for j in range(1, k):
         inside[ends - j] = False
     x = (c.shingle_hashes(hashed, k)[inside[: len(hashed) - k + 1]] >> np.uint64(32)).astype(np.uint32)
     starts = np.r_[0, np.cumsum(counts - k + 1)]
-    out, a = np.empty((len(lines), len(hasher._a)), np.uint32), 0
-    while a < len(lines):  # some 4096 shingles at a time
+    out, a = np.empty((len(counts), len(hasher._a)), np.uint32), 0
+    while a < len(counts):  # some 4096 shingles at a time
         b = max(a + 1, int(np.searchsorted(starts, starts[a] + 4096)) - 1)
         part = hasher._a * x[None, starts[a]:starts[b]] + hasher._b
         out[a:b] = np.minimum.reduceat(part, starts[a:b] - starts[a], axis=1).T
@@ -76,25 +79,46 @@ def line_signatures(hasher: c.MinHash, lines: list[list[bytes]]) -> np.ndarray:
     return out
 
 
+def _lines_of(texts: list[bytes | None], min_words: int):
+    """Of all lines with enough words: (text number, position, words, node, all words'
+    hashes, number of the first one)."""
+    whole = b"\n".join(t or b"" for t in texts).lower()
+    starts, ends, hashed = c.words_in(whole)
+    breaks = np.flatnonzero(np.frombuffer(whole, np.uint8) == 10)
+    first = np.searchsorted(starts, np.r_[0, breaks])
+    counts = np.diff(np.r_[first, len(starts)])
+    opening = np.cumsum([0, *(1 + (t or b"").count(b"\n") for t in texts)])  # the first line of each text
+    line = np.flatnonzero(counts >= min_words)
+    text, first, counts = np.searchsorted(opening, line, "right") - 1, first[line], counts[line]
+    raw, plain = np.frombuffer(whole, np.uint8), np.ones(len(starts), np.int64)  # one blank before the word
+    plain[1:] = (starts[1:] - ends[:-1] == 1) & (raw[ends[:-1]] == 32)
+    plain = np.r_[0, np.cumsum(plain)]
+    even = plain[first + counts] - plain[first + 1] == counts - 1
+    nodes = []
+    for a, b, is_even in zip(starts[first].tolist(), ends[first + counts - 1].tolist(), even.tolist()):
+        nodes.append(class_id([whole[a:b]] if is_even else whole[a:b].split()))
+    return text, line - opening[text], counts, nodes, hashed, first
+
+
 def _paragraphs(docs: DataFrame, min_words: int) -> DataFrame:
     def run(batches):
         hasher, seen = c.MinHash(BANDS, ROWS), set()
-        for batch in c.sliced(batches):
-            rows, fresh = [], []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), c.texts_of(batch)):
-                for i, _, words in long_lines(text, min_words):
-                    node = class_id(words)
-                    new = node not in seen
-                    if new:  # a class needs its keys once; this task forgets after a while
-                        seen.add(node)
-                        fresh.append(words)
-                    rows.append((doc_id, i, len(words), node, new))
+        for ids, texts in c.text_chunks(batches, "doc_id"):
+            text, at, counts, nodes, hashed, first = _lines_of(texts, min_words)
+            fresh = []
+            for i, node in enumerate(nodes):
+                if node not in seen:  # a class needs its keys once; this task forgets after a while
+                    seen.add(node)
+                    fresh.append(i)
             if len(seen) > _SEEN:
                 seen.clear()
-            if rows:
-                keys = iter(hasher.band_keys(line_signatures(hasher, fresh))) if fresh else None
-                *columns, new = zip(*rows)
-                yield c.record(_PARAGRAPHS, [*columns, [next(keys).tobytes() if x else None for x in new]])
+            if nodes:
+                keys = [None] * len(nodes)
+                if fresh:
+                    words = np.concatenate([hashed[a:b] for a, b in zip(first[fresh].tolist(), (first + counts)[fresh].tolist())])
+                    for i, key in zip(fresh, hasher.band_keys(_signatures(hasher, words, counts[fresh]))):
+                        keys[i] = key.tobytes()
+                yield c.record(_PARAGRAPHS, [np.array(ids, np.int64)[text], at.astype(np.int32), counts.astype(np.int32), nodes, keys])
 
     return c.map_arrow(docs.select("doc_id", "text"), run, "doc_id long, paragraph int, n_words int, node long, keys binary")
 
@@ -212,14 +236,38 @@ def chosen_passages(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if len(words) < PASSAGE_WORDS:
         return np.empty(0, np.int64), np.empty(0, np.int64)
     ids = run_hashes(words, PASSAGE_WORDS)
+    return _chosen(ids, min(SHARED_WORDS - PASSAGE_WORDS + 1, len(ids)))
+
+
+def _chosen(ids: np.ndarray, span: int, inside: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The passages with the smallest hash of any ``span`` consecutive ones (of those
+    that are ``inside``, by their first one)."""
     order = c.mix(ids ^ np.uint64(0x5851F42D4C957F2D))  # another hash than the id, whose bits stay even
-    span = min(SHARED_WORDS - PASSAGE_WORDS + 1, len(ids))
     lows = _sliding(order, span, np.minimum)
+    if inside is not None:
+        lows = np.where(inside, lows, np.uint64(0))
     edge = np.zeros(span - 1, np.uint64)
     at = np.flatnonzero(_sliding(np.r_[edge, lows, edge], span, np.maximum) == order)
     return at, ids[at].view(np.int64)
 
 
+def _chosen_of_all(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, first words, passages, contexts) as ``chosen_passages`` and
+    ``contexts_of`` give them for each of many texts (of SHARED_WORDS words or more), whose
+    words follow one another."""
+    ends = np.cumsum(counts)
+    inside = np.ones(len(words) - SHARED_WORDS + 1, bool)  # runs that do not go on into the next text
+    for j in range(1, SHARED_WORDS):
+        inside[ends[:-1] - j] = False
+    at, passage = _chosen(run_hashes(words, PASSAGE_WORDS), SHARED_WORDS - PASSAGE_WORDS + 1, inside)
+    text = np.searchsorted(ends, at, "right")
+    whole = at <= ends[text] - PASSAGE_WORDS
+    at, passage, text = at[whole], passage[whole], text[whole]
+    begin = ends - counts
+    node = _context_ids(run_hashes(words, SHARED_WORDS), at, begin[text], ends[text] - SHARED_WORDS)[0]
+    return text, at - begin[text], passage, node
+
+
 def passages_of(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
     """(first words, ids) of the passages of a text that its content chooses."""
     return chosen_passages(c.word_hashes(c.words_of(text)))
@@ -232,8 +280,7 @@ def contexts_of(words: np.ndarray, at: np.ndarray, with_keys: bool = False) -> t
     passages share a key where they lie in a shared run, and an id where all their
     runs are equal."""
     runs = run_hashes(words, SHARED_WORDS)
-    first, last = np.maximum(0, at - SHARED_WORDS + PASSAGE_WORDS), np.minimum(at, len(runs) - 1)
-    ids = c.mix(c.mix(runs[first] + (at - first).astype(np.uint64)) + runs[last] * np.uint64(5) + (at - last).astype(np.uint64))
+    ids, first, last = _context_ids(runs, at, 0, len(runs) - 1)
     keys = []
     if with_keys:
         each = last - first + 1
@@ -242,24 +289,36 @@ def contexts_of(words: np.ndarray, at: np.ndarray, with_keys: bool = False) -> t
         place = (np.repeat(at, each) - run).astype(np.uint64)
         flat = c.mix(runs[run] + place * np.uint64(0x9E3779B97F4A7C15)).tobytes()
         keys = [flat[8 * (b - n):8 * b] for b, n in zip(ends.tolist(), each.tolist())]
-    return ids.view(np.int64), keys
+    return ids, keys
+
+
+def _context_ids(runs: np.ndarray, at: np.ndarray, low, high) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids, first, last): the first and the last run, of those from ``low`` to ``high``, that
+    holds the passage, and an id of both."""
+    first, last = np.maximum(low, at - SHARED_WORDS + PASSAGE_WORDS), np.minimum(at, high)
+    ids = c.mix(c.mix(runs[first] + (at - first).astype(np.uint64)) + runs[last] * np.uint64(5) + (at - last).astype(np.uint64))
+    return ids.view(np.int64), first, last
+
+
+def _hashed_texts(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of all words, number of the first word of each text and of the end)."""
+    lower = [(t or b"").lower() for t in texts]
+    starts, _, hashed = c.words_in(b" ".join(lower))
+    return hashed, np.searchsorted(starts, np.cumsum([0, *(len(t) + 1 for t in lower)]))
 
 
 def _passages(docs: DataFrame) -> DataFrame:
     """(doc_id, word, passage, node): every chosen passage and the id of its context.
     A text of fewer than SHARED_WORDS words shares no run of that length."""
     def run(batches):
-        for batch in batches:
-            for part in c.sliced([batch]):
-                found, ids = [], part.column("doc_id").to_pylist()
-                for doc_id, text in zip(ids, c.texts_of(part)):
-                    words = c.words_of(text)
-                    if len(words) >= SHARED_WORDS:
-                        hashed = c.word_hashes(words)
-                        at, passage = chosen_passages(hashed)
-                        found.append((np.full(len(at), doc_id, np.int64), at.astype(np.int32), passage, contexts_of(hashed, at)[0]))
-                if found:
-                    yield c.record(_PASSAGES, [np.concatenate(x) for x in zip(*found)])
+        for ids, texts in c.text_chunks(batches, "doc_id"):
+            hashed, first = _hashed_texts(texts)
+            counts = np.diff(first)
+            long = np.flatnonzero(counts >= SHARED_WORDS)
+            if len(long):
+                words = hashed if len(long) == len(texts) else hashed[np.repeat(counts >= SHARED_WORDS, counts)]
+                text, at, passage, node = _chosen_of_all(words, counts[long])
+                yield c.record(_PASSAGES, [np.array(ids, np.int64)[long[text]], at.astype(np.int32), passage, node])
 
     return c.map_arrow(docs.select("doc_id", "text"), run, "doc_id long, word int, passage long, node long")
 
@@ -270,13 +329,15 @@ def _keyed(docs: DataFrame, places: DataFrame) -> DataFrame:
     joined = docs.select("doc_id", "text").join(wanted, "doc_id").select("text", "wanted")
 
     def run(batches):
-        for batch in c.sliced(batches):
+        for batch in c.sliced(batches, 64):
             asked = batch.column("wanted")
             ends = asked.offsets.to_numpy()
             numbers, passages, nodes = (asked.values.field(i).to_numpy(zero_copy_only=False) for i in range(3))
             out, keys = [], []
-            for i, text in enumerate(c.texts_of(batch)):
-                words = c.word_hashes(c.words_of(text))
+            texts = c.texts_of(batch)
+            hashed, starts = _hashed_texts(texts)
+            for i in range(len(texts)):
+                words = hashed[starts[i]:starts[i + 1]]
                 if len(words) < SHARED_WORDS:  # another row of this doc_id
                     continue
                 own = run_hashes(words, PASSAGE_WORDS).view(np.int64)

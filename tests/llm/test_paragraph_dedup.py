@@ -177,3 +177,39 @@ def test_hot_keys_stay_where_they_lie(spark, monkeypatch):
         for got in (pd_.c.hot_key_join(rows, small, "k", how), pd_.c.hot_key_join(rows, counted, "k", how, counted="count")):
             assert key(got) == key(rows.join(small, "k", how))
             assert "BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_words_of_many_texts_are_hashed_at_once(monkeypatch):
+    import pyarrow as pa
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("abÄ \n\t") for _ in range(rng.randrange(1500))) for _ in range(40)]
+    texts += ["", None, " \n ", "x " * 300, "A  b\tc d e f g h i j k l\r\nno\x1cgap \x0b \x0c", " ".join("w" * k for k in range(1, 90))]
+    raw = [(t or "").encode() for t in texts]
+    for t in raw:
+        starts, ends, hashed = pd_.c.words_in(t.lower())
+        words = pd_.c.words_of(t)
+        assert [t.lower()[a:b] for a, b in zip(starts, ends)] == words
+        assert hashed.tolist() == pd_.c.word_hashes(words).tolist()
+    lines = [(d, i, len(words), pd_.class_id(words)) for d, t in enumerate(raw) for i, _, words in pd_.long_lines(t, 10)]
+    passages = []
+    for d, t in enumerate(raw):
+        hashed = pd_.c.word_hashes(pd_.c.words_of(t))
+        if len(hashed) >= pd_.SHARED_WORDS:
+            at, ids = pd_.chosen_passages(hashed)
+            passages += zip([d] * len(at), at.tolist(), ids.tolist(), pd_.contexts_of(hashed, at)[0].tolist())
+
+    class Docs:
+        select = lambda self, *names: self
+
+    def one_by_one(words):
+        raise AssertionError("hashed word by word")
+
+    monkeypatch.setattr(pd_.c, "map_arrow", lambda df, run, schema: run)
+    monkeypatch.setattr(pd_.c, "word_hashes", one_by_one)
+    for chunk in (1, 5000, 1 << 18):
+        monkeypatch.setattr(pd_.c, "_CHUNK_BYTES", chunk)
+        batches = [pa.record_batch([pa.array(range(a, b), pa.int64()), pa.array(texts[a:b], pa.string())], names=["doc_id", "text"])
+                   for a, b in ((0, 17), (17, len(texts)))]
+        rows = lambda step: [tuple(r.values()) for x in step(Docs())(batches) for r in x.to_pylist()]
+        assert [r[:4] for r in rows(lambda d: pd_._paragraphs(d, 10))] == lines
+        assert rows(pd_._passages) == passages
