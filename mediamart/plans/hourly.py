@@ -11,7 +11,7 @@ from ..operators.staging import stage
 from ..schemas import HOUR_COL, LOAD_COL, raw_schema, staged_schema
 from ..session import materialize
 from ..sources.files import day_folders, hours_between, read_folders, ts_literal
-from ..sources.ledger import FILE_COL, Ledger, assign_hours, file_key
+from ..sources.ledger import FILE_COL, PARTS, Ledger, assign_hours, file_key
 from ..sources.sinks import ensure_table, read_table, write_hours
 
 MODES = ("append", "overwrite", "once")
@@ -123,13 +123,16 @@ def load_batch(batch: DataFrame, raw_root: str, feed: str, table_path: str, star
     """Stage the files that ``batch`` (rows with month, day, hour and ``_name``) comes
     from, each file once, as the latest hour of its folder in [start, end). A batch
     that is given again adds nothing, and one that broke off is finished. Rows are
-    brought together by hour before the write."""
+    brought together by hour before the write. A stream's batch is read with all its
+    columns each time: once for the list of its files, of which the claims are made,
+    and once for the write."""
     spark = batch.sparkSession
     ensure_table(spark, table_path, staged_schema(feed, with_hour=True, with_load=True), LOAD_COL)
     book = ledger_of(spark, table_path, ledger)
     recover(spark, raw_root, feed, table_path, book)
     rows = _with_file(batch)
-    new = book.propose(assign_hours(rows, start, end, latest=True), _days_of(batch))
+    found = materialize(rows.select(FILE_COL, *PARTS).distinct(), "batch-files")
+    new = book.propose(assign_hours(found, start, end, latest=True), _days_of(found))
     _write(by_hour(_of_files(rows, feed, new), new), feed, table_path, "append")
     book.publish()
 

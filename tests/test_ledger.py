@@ -151,3 +151,19 @@ def test_many_files_of_an_hour_share_tasks(spark):
     raw = claims.selectExpr("_file", "load_hour", *[f"CAST(NULL AS string) AS {f.name}" for f in raw_schema(FEED).fields])
     spread = hourly.by_hour(raw, claims).select("_file", F.spark_partition_id().alias("p")).collect()
     assert len(spread) == 100 and 1 < len({r.p for r in spread}) <= 7
+
+
+def test_a_batch_is_read_for_its_files_and_for_its_rows(spark):
+    root = scratch_path(spark, "passes")
+    lay(spark, root, FIVE)
+    rows = files.read_folders(spark, f"{root}/raw", FEED, [f"{root}/raw/{FEED}/month=3"])
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+    hourly.load_batch(rows.mapInArrow(counted, rows.schema), f"{root}/raw", FEED, f"{root}/out",
+                      T("2025-01-01 00:00:00"), T("2025-04-01 00:00:00"))
+    assert loaded(spark, f"{root}/out") == [(u, 2025030510) for u in (1, 2, 3, 4, 5)]
+    assert read.value == 2 * len(FIVE)
